@@ -29,11 +29,12 @@ class Settings:
     window: int = 96  # bytes; states start anew in each window
     hidden: int = 6  # units in each direction
     epochs: int = 5
+    least_steps: int = 400  # small samples are gone over more often
     batch: int = 256
     rate: float = 0.02
     seed: int = 7
     slice_bytes: int = 2 << 20
-    lanes: int = 1024  # windows run side by side
+    lanes: int = 2048  # windows run side by side
 
 
 def start(langs: int, s: Settings) -> dict[str, np.ndarray]:
@@ -184,8 +185,10 @@ def train(windows: np.ndarray, lang: np.ndarray, langs: int, s: Settings) -> dic
     p, g = start(langs, s), np.random.default_rng(s.seed + 1)
     m = {k: np.zeros_like(v) for k, v in p.items()}
     v = {k: np.zeros_like(x) for k, x in p.items()}
-    step, steps = 0, s.epochs * -(-len(lang) // s.batch)
-    for _ in range(s.epochs):
+    round_ = -(-len(lang) // s.batch)
+    epochs = max(s.epochs, -(-s.least_steps // max(round_, 1)))
+    step, steps = 0, epochs * round_
+    for _ in range(epochs):
         order = g.permutation(len(lang))
         for i in range(0, len(order), s.batch):
             at = order[i : i + s.batch]
