@@ -6,9 +6,9 @@ stops when all its coordinates are filled.
 
 A document's class is the set of its shingles: exact copies (equal sets) are one class, and only the member with the
 least id takes part further. Within a bucket of a band the members are compared with the bucket's leader, which is
-the member with the largest buckets over all bands; pairs of members that are then still in different components go on
-to the next leader of their bucket, until no bucket holds two components with a pair not compared. So no link that
-could join two components is lost, and a group of near copies costs a few pairs for each member, not all pairs.
+the member with the largest buckets over all bands. Pairs of a bucket that are then still in different components are
+compared one by one if they are few for each class, else the bucket goes on to its next leader first. So no link
+that could join two components is lost, and a group of near copies costs a few pairs for each member, not all pairs.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ class Settings:
     rows: int = 4
     slice_bytes: int = 2 << 20
     broadcast_rows: int = 200_000
+    pairs_per_class: float = 4.0  # leader rounds go on while more pairs than so many for each class are open
 
 
 def shingles(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -151,6 +152,14 @@ def components(spark, links: DataFrame) -> DataFrame:
         e = new
 
 
+def _confirmed(pair: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Of pairs (r, q) with set sizes (n, m), those that are links, by their whole sets: (a, b)."""
+    pair = pair.filter(100 * F.least("n", "m") >= s.percent * F.greatest("n", "m")).select(F.least("r", "q").alias("a"), F.greatest("r", "q").alias("b")).distinct()
+    both = F.size(F.array_intersect("sa", "sb"))
+    full = pair.join(sets.select(F.col("r").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("r").alias("b"), F.col("s").alias("sb")), "b")
+    return stash(full.filter(100 * both >= s.percent * (F.size("sa") + F.size("sb") - both)).select("a", "b"), "found")
+
+
 def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept (and the row id _rid).
 
@@ -175,25 +184,29 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     few = ids.count() <= s.broadcast_rows
     sets = docs.join(F.broadcast(ids) if few else ids, F.col("_rid") == F.col("r"), "left_semi")
     sets = stash(sets.select("_rid", "text").mapInArrow(_sets(s), "r long, s array<long>"), "sets")
-    comp = ids.select("r", F.col("r").alias("c"))
-    links = None
+    links, most = None, s.pairs_per_class * max(classes.count(), 50_000)
+    verify = lambda pair: _confirmed(pair, sets, s)
     while True:
         # leader of each bucket: the member not yet used as one with the largest buckets; the others are compared with it
         lead = member.groupBy("band", "h").agg(F.max(F.struct("weight", F.negative("r").alias("x"), "n")).alias("l"))
         pair = member.join(lead, ["band", "h"]).select("r", "n", F.negative("l.x").alias("q"), F.col("l.n").alias("m")).filter("r != q")
-        pair = pair.filter(100 * F.least("n", "m") >= s.percent * F.greatest("n", "m")).select(F.least("r", "q").alias("a"), F.greatest("r", "q").alias("b")).distinct()
-        found = pair.join(sets.select(F.col("r").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("r").alias("b"), F.col("s").alias("sb")), "b")
-        both = F.size(F.array_intersect("sa", "sb"))
-        found = stash(found.filter(100 * both >= s.percent * (F.size("sa") + F.size("sb") - both)).select("a", "b"), "found")
+        found = verify(pair)
         links = found if links is None else links.union(found)
         comp = components(spark, links)
         # buckets that still hold two components, without the leader just used
         left = member.join(comp, "r", "left").withColumn("c", F.coalesce("c", "r"))
         left = left.join(lead.select("band", "h", F.negative("l.x").alias("q")), ["band", "h"]).filter("r != q")
-        open_ = left.groupBy("band", "h").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 != c1").select("band", "h")
-        member = stash(left.join(open_, ["band", "h"]).select("r", "band", "h", "k", "n", "weight"), "open")
-        if member.limit(1).count() == 0:
+        held = left.groupBy("band", "h", "c").agg(F.count(F.lit(1)).alias("j")).groupBy("band", "h").agg(F.sum("j").alias("j"), F.sum(F.col("j") * F.col("j")).alias("j2"), F.count(F.lit(1)).alias("cs")).filter("cs > 1")
+        member = stash(left.join(held.select("band", "h", ((F.col("j") * F.col("j") - F.col("j2")) / 2).alias("open")), ["band", "h"]).select("r", "band", "h", "n", "weight", "c", "open"), "open")
+        count = member.dropDuplicates(["band", "h"]).agg(F.coalesce(F.sum("open"), F.lit(0))).first()[0]
+        if count == 0:
+            break
+        if count <= most:
+            other = member.select("band", "h", F.col("r").alias("q"), F.col("n").alias("m"), F.col("c").alias("d"))
+            found = verify(member.join(other, ["band", "h"]).filter("c < d").select("r", "n", "q", "m"))
+            comp = components(spark, links.union(found))
             break
+        member = member.drop("c", "open")
     label = classes.select(F.col("f._rid").alias("r"), F.col("f.doc_id").alias("own"), "d1", "d2").join(comp, "r", "left").withColumn("c", F.coalesce("c", "r"))
     names = classes.select(F.col("f._rid").alias("c"), F.col("f.doc_id").alias("component_id"))
     label = label.join(names, "c").select("d1", "d2", F.col("c"), "component_id")
