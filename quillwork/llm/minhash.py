@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import mix, prepare, slices, stash, string_hashes, with_rid
@@ -186,16 +186,18 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     sets = stash(sets.select("_rid", "text").mapInArrow(_sets(s), "r long, s array<long>"), "sets")
     links, most = None, s.pairs_per_class * max(classes.count(), 50_000)
     verify = lambda pair: _confirmed(pair, sets, s)
+    leaders = 1
     while True:
-        # leader of each bucket: the member not yet used as one with the largest buckets; the others are compared with it
-        lead = member.groupBy("band", "h").agg(F.max(F.struct("weight", F.negative("r").alias("x"), "n")).alias("l"))
-        pair = member.join(lead, ["band", "h"]).select("r", "n", F.negative("l.x").alias("q"), F.col("l.n").alias("m")).filter("r != q")
+        # leaders of each bucket: the members not yet used with the largest buckets; the others are compared with them
+        by = Window.partitionBy("band", "h").orderBy(F.col("weight").desc(), "r")
+        lead = member.withColumn("at", F.row_number().over(by)).filter(F.col("at") <= leaders).select("band", "h", F.col("r").alias("q"), F.col("n").alias("m"))
+        pair = member.join(lead, ["band", "h"]).select("r", "n", "q", "m").filter("r != q")
         found = verify(pair)
         links = found if links is None else links.union(found)
         comp = components(spark, links)
         # buckets that still hold two components, without the leader just used
         left = member.join(comp, "r", "left").withColumn("c", F.coalesce("c", "r"))
-        left = left.join(lead.select("band", "h", F.negative("l.x").alias("q")), ["band", "h"]).filter("r != q")
+        left = left.join(lead.select("band", "h", F.col("q").alias("r")), ["band", "h", "r"], "left_anti")
         held = left.groupBy("band", "h", "c").agg(F.count(F.lit(1)).alias("j")).groupBy("band", "h").agg(F.sum("j").alias("j"), F.sum(F.col("j") * F.col("j")).alias("j2"), F.count(F.lit(1)).alias("cs")).filter("cs > 1")
         member = stash(left.join(held.select("band", "h", ((F.col("j") * F.col("j") - F.col("j2")) / 2).alias("open")), ["band", "h"]).select("r", "band", "h", "n", "weight", "c", "open"), "open")
         count = member.dropDuplicates(["band", "h"]).agg(F.coalesce(F.sum("open"), F.lit(0))).first()[0]
@@ -207,6 +209,7 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
             comp = components(spark, links.union(found))
             break
         member = member.drop("c", "open")
+        leaders *= 4  # so that rounds stay few; no pair is compared more often for it
     label = classes.select(F.col("f._rid").alias("r"), F.col("f.doc_id").alias("own"), "d1", "d2").join(comp, "r", "left").withColumn("c", F.coalesce("c", "r"))
     names = classes.select(F.col("f._rid").alias("c"), F.col("f.doc_id").alias("component_id"))
     label = label.join(names, "c").select("d1", "d2", F.col("c"), "component_id")
