@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, let, words
+from .common import WHITE, let, stash, words
 
 #: Phrases of boilerplate lines, lower case, at least two words each.
 BOILERPLATE = ("lorem ipsum", "enable javascript", "cookie policy", "uses cookies", "privacy policy", "terms of use", "terms of service", "rights reserved", "sign in to", "log in to", "subscribe to our", "click here", "share this", "powered by")
@@ -120,5 +120,10 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that the rules keep, with their text as it was."""
-    return measures(docs).filter("kept").select(*docs.columns)
+    """Pipeline stage: the documents that the rules keep, with their text as it was.
+
+    The verdicts are written before the filter: pushed below the measures, it would have each of them computed anew
+    for every element of the arrays.
+    """
+    judged = stash(measures(docs).select(*[F.col(c) for c in docs.columns], F.col("kept").alias("_kept")), "judged")
+    return judged.filter("_kept").drop("_kept")
