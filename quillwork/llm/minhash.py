@@ -35,6 +35,7 @@ class Settings:
     rows: int = 4
     slice_bytes: int = 2 << 20
     broadcast_rows: int = 200_000
+    one_task_links: int = 2_000_000  # stars joined in one task at most (32 MB)
     pairs_per_class: float = 4.0  # leader rounds go on while more pairs than so many for each class are open
 
 
@@ -136,9 +137,46 @@ def _sets(s: Settings):
     return run
 
 
-def components(spark, links: DataFrame) -> DataFrame:
-    """(r, c) for every end of links (a, b): c is the least id that r reaches. Large-star and small-star rounds."""
-    e = stash(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), "links")
+def _roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, least node that each reaches) of the links a - b: hooking to the least label and pointer jumping."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while len(u):
+        low = np.minimum(label[u], label[v])
+        np.minimum.at(label, label[u], low)
+        np.minimum.at(label, label[v], low)
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+        open_ = label[u] != label[v]
+        u, v = u[open_], v[open_]
+    return nodes, nodes[label]
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of a partition as (node, least node it reaches within the partition)."""
+    known = None
+    for b in batches:
+        x, y = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        if known is not None:
+            x, y = np.concatenate([known[0], x]), np.concatenate([known[1], y])
+        known = _roots(x, y)
+    if known is not None:
+        for i in range(0, len(known[0]), 1 << 16):
+            yield pa.record_batch([pa.array(k[i : i + (1 << 16)]) for k in known], names=["r", "c"])
+
+
+def components(links: DataFrame, one_task: int) -> DataFrame:
+    """(r, c) for every end of links (a, b): c is the least id that r reaches.
+
+    Each partition first reduces its links to stars. If at most one_task of their rows are left, one task of that
+    bounded size joins them; beyond, large-star and small-star rounds do, over any number of tasks.
+    """
+    e = stash(links.mapInArrow(_forest, "r long, c long"), "stars")
+    if e.count() <= one_task:
+        return stash(e.coalesce(1).mapInArrow(_forest, "r long, c long"), "components")
+    own = e.select("r").distinct().withColumn("c", F.col("r"))  # the least nodes have no link of their own
+    e = stash(e.filter("r != c").select(F.col("r").alias("u"), F.col("c").alias("v")).distinct(), "links")
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -148,7 +186,7 @@ def components(spark, links: DataFrame) -> DataFrame:
         small = big.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").union(low.select("u", F.col("m").alias("v"))).distinct()
         new = stash(small, "small")
         if new.exceptAll(e).limit(1).count() == 0 and e.exceptAll(new).limit(1).count() == 0:
-            return new.select(F.col("u").alias("r"), F.col("v").alias("c"))
+            return stash(own.join(new.select(F.col("u").alias("r"), F.col("v").alias("v")), "r", "left").select("r", F.coalesce("v", "c").alias("c")), "components")
         e = new
 
 
@@ -160,6 +198,11 @@ def _confirmed(pair: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     return stash(full.filter(100 * both >= s.percent * (F.size("sa") + F.size("sb") - both)).select("a", "b"), "found")
 
 
+def _joined(comp: DataFrame | None, found: DataFrame, s: Settings) -> DataFrame:
+    """Components of the links found, on top of those known."""
+    return components(found if comp is None else comp.select(F.col("r").alias("a"), F.col("c").alias("b")).union(found), s.one_task_links)
+
+
 def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept (and the row id _rid).
 
@@ -184,19 +227,16 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     few = ids.count() <= s.broadcast_rows
     sets = docs.join(F.broadcast(ids) if few else ids, F.col("_rid") == F.col("r"), "left_semi")
     sets = stash(sets.select("_rid", "text").mapInArrow(_sets(s), "r long, s array<long>"), "sets")
-    links, most = None, s.pairs_per_class * max(classes.count(), 50_000)
-    verify = lambda pair: _confirmed(pair, sets, s)
+    comp, most = None, s.pairs_per_class * max(classes.count(), 50_000)
+    member = member.withColumn("c", F.col("r"))
     leaders = 1
     while True:
         # leaders of each bucket: the members not yet used with the largest buckets; the others are compared with them
         by = Window.partitionBy("band", "h").orderBy(F.col("weight").desc(), "r")
-        lead = member.withColumn("at", F.row_number().over(by)).filter(F.col("at") <= leaders).select("band", "h", F.col("r").alias("q"), F.col("n").alias("m"))
-        pair = member.join(lead, ["band", "h"]).select("r", "n", "q", "m").filter("r != q")
-        found = verify(pair)
-        links = found if links is None else links.union(found)
-        comp = components(spark, links)
-        # buckets that still hold two components, without the leader just used
-        left = member.join(comp, "r", "left").withColumn("c", F.coalesce("c", "r"))
+        lead = member.withColumn("at", F.row_number().over(by)).filter(F.col("at") <= leaders).select("band", "h", F.col("r").alias("q"), F.col("n").alias("m"), F.col("c").alias("d"))
+        comp = _joined(comp, _confirmed(member.join(lead, ["band", "h"]).filter("c != d").select("r", "n", "q", "m"), sets, s), s)
+        # buckets that still hold two components, without the leaders just used
+        left = member.drop("c").join(comp, "r", "left").withColumn("c", F.coalesce("c", "r"))
         left = left.join(lead.select("band", "h", F.col("q").alias("r")), ["band", "h", "r"], "left_anti")
         held = left.groupBy("band", "h", "c").agg(F.count(F.lit(1)).alias("j")).groupBy("band", "h").agg(F.sum("j").alias("j"), F.sum(F.col("j") * F.col("j")).alias("j2"), F.count(F.lit(1)).alias("cs")).filter("cs > 1")
         member = stash(left.join(held.select("band", "h", ((F.col("j") * F.col("j") - F.col("j2")) / 2).alias("open")), ["band", "h"]).select("r", "band", "h", "n", "weight", "c", "open"), "open")
@@ -205,10 +245,9 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
             break
         if count <= most:
             other = member.select("band", "h", F.col("r").alias("q"), F.col("n").alias("m"), F.col("c").alias("d"))
-            found = verify(member.join(other, ["band", "h"]).filter("c < d").select("r", "n", "q", "m"))
-            comp = components(spark, links.union(found))
+            comp = _joined(comp, _confirmed(member.join(other, ["band", "h"]).filter("c < d").select("r", "n", "q", "m"), sets, s), s)
             break
-        member = member.drop("c", "open")
+        member = member.drop("open")
         leaders *= 4  # so that rounds stay few; no pair is compared more often for it
     label = classes.select(F.col("f._rid").alias("r"), F.col("f.doc_id").alias("own"), "d1", "d2").join(comp, "r", "left").withColumn("c", F.coalesce("c", "r"))
     names = classes.select(F.col("f._rid").alias("c"), F.col("f.doc_id").alias("component_id"))
