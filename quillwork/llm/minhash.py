@@ -6,9 +6,11 @@ stops when all its coordinates are filled.
 
 A document's class is the set of its shingles: exact copies (equal sets) are one class, and only the member with the
 least id takes part further. Within a bucket of a band the members are compared with the bucket's leader, which is
-the member with the largest buckets over all bands. Pairs of a bucket that are then still in different components are
-compared one by one if they are few for each class, else the bucket goes on to its next leader first. So no link
-that could join two components is lost, and a group of near copies costs a few pairs for each member, not all pairs.
+the member with the largest buckets over all bands. Buckets that then still hold several components go on to further
+leaders while that helps. The pairs across components that are left are those of a bucket that also share one of their
+rarest shingles (the prefix filter: a pair at the threshold must, whatever order the shingles have), so that a passage
+common to many documents makes no pairs. So no link that could join two components is lost, and a group of near copies
+costs a few pairs for each member, not all pairs.
 """
 
 from __future__ import annotations
@@ -36,7 +38,6 @@ class Settings:
     slice_bytes: int = 2 << 20
     broadcast_rows: int = 200_000
     one_task_links: int = 2_000_000  # stars joined in one task at most (32 MB)
-    pairs_per_class: float = 4.0  # leader rounds go on while more pairs than so many for each class are open
 
 
 def shingles(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -198,6 +199,28 @@ def _confirmed(pair: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     return stash(full.filter(100 * both >= s.percent * (F.size("sa") + F.size("sb") - both)).select("a", "b"), "found")
 
 
+def _settle(member: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """All links across components among members (r, n, c): pairs that share a shingle of both prefixes, confirmed.
+
+    Shingles are ordered by their frequency among the members, then by hash. Of a set of n, a partner at the threshold
+    holds at least percent of n, so the pair shares one of the first n - ceil(percent * n / 100) + 1 of either.
+    """
+    who = member.select("r", "n", "c").distinct()
+    each = stash(sets.join(who, "r").select("r", "n", "c", F.explode("s").alias("w")), "each")
+    freq = each.groupBy("w").agg(F.count(F.lit(1)).alias("f"))
+    first = F.row_number().over(Window.partitionBy("r").orderBy("f", "w"))
+    size = F.col("n") - F.ceil(F.col("n") * s.percent / 100) + 1
+    head = each.join(freq, "w").withColumn("k", first).filter((F.col("k") <= size) & (F.col("f") > 1)).select("w", "r", "n", "c", "k")
+    head = stash(head, "prefixes")
+    mixed = head.groupBy("w").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("w")
+    head = stash(head.join(mixed, "w", "left_semi"), "shared")
+    other = head.select("w", F.col("r").alias("q"), F.col("n").alias("m"), F.col("c").alias("d"), F.col("k").alias("l"))
+    fits = 100 * F.least("n", "m") >= s.percent * F.greatest("n", "m")
+    pair = head.join(other, "w").filter((F.col("c") < F.col("d")) & fits).groupBy("r", "n", "q", "m").agg(F.count(F.lit(1)).alias("j"), F.max("k").alias("k"), F.max("l").alias("l"))
+    most = F.col("j") + F.least(F.col("n") - F.col("k"), F.col("m") - F.col("l"))  # common ones up to the last place, and all after it
+    return _confirmed(stash(pair.filter((100 + s.percent) * most >= s.percent * (F.col("n") + F.col("m"))).drop("j", "k", "l"), "near"), sets, s)
+
+
 def _joined(comp: DataFrame | None, found: DataFrame, s: Settings) -> DataFrame:
     """Components of the links found, on top of those known."""
     return components(found if comp is None else comp.select(F.col("r").alias("a"), F.col("c").alias("b")).union(found), s.one_task_links)
@@ -227,7 +250,7 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     few = ids.count() <= s.broadcast_rows
     sets = docs.join(F.broadcast(ids) if few else ids, F.col("_rid") == F.col("r"), "left_semi")
     sets = stash(sets.select("_rid", "text").mapInArrow(_sets(s), "r long, s array<long>"), "sets")
-    comp, most = None, s.pairs_per_class * max(classes.count(), 50_000)
+    comp, before = None, None
     member = member.withColumn("c", F.col("r"))
     leaders = 1
     while True:
@@ -243,10 +266,10 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
         count = member.dropDuplicates(["band", "h"]).agg(F.coalesce(F.sum("open"), F.lit(0))).first()[0]
         if count == 0:
             break
-        if count <= most:
-            other = member.select("band", "h", F.col("r").alias("q"), F.col("n").alias("m"), F.col("c").alias("d"))
-            comp = _joined(comp, _confirmed(member.join(other, ["band", "h"]).filter("c < d").select("r", "n", "q", "m"), sets, s), s)
+        if before is not None and 2 * count > before:
+            comp = _joined(comp, _settle(member, sets, s), s)
             break
+        before = count
         member = member.drop("open")
         leaders *= 4  # so that rounds stay few; no pair is compared more often for it
     label = classes.select(F.col("f._rid").alias("r"), F.col("f.doc_id").alias("own"), "d1", "d2").join(comp, "r", "left").withColumn("c", F.coalesce("c", "r"))
