@@ -15,6 +15,7 @@ costs a few pairs for each member, not all pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -214,11 +215,21 @@ def _settle(member: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     head = stash(head, "prefixes")
     mixed = head.groupBy("w").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("w")
     head = stash(head.join(mixed, "w", "left_semi"), "shared")
-    other = head.select("w", F.col("r").alias("q"), F.col("n").alias("m"), F.col("c").alias("d"), F.col("k").alias("l"))
-    fits = 100 * F.least("n", "m") >= s.percent * F.greatest("n", "m")
-    pair = head.join(other, "w").filter((F.col("c") < F.col("d")) & fits).groupBy("r", "n", "q", "m").agg(F.count(F.lit(1)).alias("j"), F.max("k").alias("k"), F.max("l").alias("l"))
-    most = F.col("j") + F.least(F.col("n") - F.col("k"), F.col("m") - F.col("l"))  # common ones up to the last place, and all after it
-    return _confirmed(stash(pair.filter((100 + s.percent) * most >= s.percent * (F.col("n") + F.col("m"))).drop("j", "k", "l"), "near"), sets, s)
+    # sizes go in classes a factor of 1.05 apart: the larger of a pair meets each class below it by itself, with the
+    # shorter prefix that sizes so near allow; the smaller one needs the prefix for partners of its own size
+    step, t = 1.05, s.percent / (100 + s.percent)
+    head = head.withColumn("g", F.floor(F.log("n") / math.log(step)))
+    small = head.filter(F.col("k") <= F.col("n") - F.ceil(F.lit(2 * t) * F.col("n") - 1e-6) + 1)
+    large = head.select("w", F.col("r").alias("q"), F.col("n").alias("m"), F.col("c").alias("d"), F.col("k").alias("l"), "g")
+    below = math.ceil(math.log(100 / s.percent) / math.log(step)) + 1
+    large = large.withColumn("e", F.explode(F.array(*[F.lit(i) for i in range(below + 1)]))).withColumn("g", F.col("g") - F.col("e")).drop("e")
+    least = F.greatest(F.floor(F.pow(F.lit(step), F.col("g"))) - 1, F.ceil(F.col("m") * s.percent / 100))
+    large = large.filter(F.col("l") <= F.col("m") - F.ceil(F.lit(t) * (least + F.col("m")) - 1e-6) + 1)
+    ordered = (F.col("c") != F.col("d")) & (F.col("n") <= F.col("m")) & ((F.col("n") < F.col("m")) | (F.col("r") < F.col("q")))
+    # at its first common shingle a pair at the threshold still has enough shingles to come on either side
+    enough = (100 + s.percent) * (1 + F.least(F.col("n") - F.col("k"), F.col("m") - F.col("l"))) >= s.percent * (F.col("n") + F.col("m"))
+    pair = small.join(large, ["w", "g"]).filter(ordered & (100 * F.col("n") >= s.percent * F.col("m")) & enough)
+    return _confirmed(stash(pair.select("r", "n", "q", "m").distinct(), "near"), sets, s)
 
 
 def _joined(comp: DataFrame | None, found: DataFrame, s: Settings) -> DataFrame:
