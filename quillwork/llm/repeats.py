@@ -29,7 +29,7 @@ class Settings:
     length: int = 100  # bytes of a repeated string
     gram: int = 24  # bytes of a gram; length - gram + 1 grams compete for the anchor
     block: int = 1 << 20  # strings that start in so many bytes are handled at a time
-    shard_bytes: int = 6 << 20
+    shard_bytes: int = 2 << 20
     queue_bytes: int = 64 << 20  # memory of a shard's queues; beyond it they go to disk
     hot_contexts: int = 20_000  # an anchor with more different contexts is settled string by string
     broadcast_rows: int = 500_000
