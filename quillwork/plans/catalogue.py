@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import chunking, funnel, graph, retrieval, similarity
+from ..operators import chunking, funnel, graph, passages, retrieval, similarity
 from ..sources.tables import articles, table
 
 QUERIES: dict = {}
@@ -312,3 +312,31 @@ def resume_antijoin(spark, d):
     c = table(spark, d, "conversations")
     jobs = c.select("conv_id").distinct().select("conv_id", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("candidate"))
     return funnel.pending(jobs, c.filter("role = 'assistant'").select("conv_id", F.col("turn").cast("int").alias("candidate")), ["conv_id", "candidate"])
+
+
+def _turns(spark, d) -> DataFrame:
+    """The turns of a conversation as the chunks of a document."""
+    return table(spark, d, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("idx"), F.col("text").alias("chunk_text"))
+
+
+@query("chunk_hints", """with e as (select conv_id as doc, lower(split_part(trim(text), ' ', 1)) as entity from conversations where role = 'user' group by all),
+c as (select doc, entity, turn as idx, not contains(lower(coalesce(text, '')), entity) as miss from conversations join e on conv_id = doc),
+k as (select *, row_number() over (partition by doc, entity order by miss, idx) as k, bool_and(miss) over (partition by doc, entity) as none from c) select doc, entity, idx from k where k <= 3 and (none or not miss)""")
+def chunk_hints(spark, d):
+    first = F.lower(F.split_part(F.btrim("text"), F.lit(" "), F.lit(1)))
+    e = table(spark, d, "conversations").filter("role = 'user'").select(F.col("conv_id").alias("doc"), first.alias("entity")).distinct()
+    return passages.hints(_turns(spark, d), e)
+
+
+@query("leading_text", """with c as (select conv_id as doc, turn, coalesce(text, '') as t, coalesce(sum(length(coalesce(text, ''))) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding), 0) as before from conversations)
+select doc, string_agg(t, chr(10) order by turn) as text, count(*) as n_chunks from c where before < 300 group by 1""")
+def leading_text(spark, d):
+    return passages.leading_text(_turns(spark, d), 300)
+
+
+@query("span_map", f"""with {TURNS}, s as (select distinct conv_id as doc, turn as id, regexp_replace(trim(short), '^["'']+|["'']+$', '', 'g') as span from r where short <> ''),
+h as (select s.id, s.doc, c.turn as idx, instr(coalesce(c.text, ''), span) - 1 as start, span, row_number() over (partition by s.id, s.doc, span order by c.turn) as k from s join conversations c on c.conv_id = s.doc and contains(coalesce(c.text, ''), span))
+select id, doc, idx, cast(start as int) as start, cast(start + length(span) as int) as "end" from h where k = 1""")
+def span_map(spark, d):
+    s = _records(spark, d).select(F.col("conv_id").alias("doc"), F.col("turn").alias("id"), F.col("short").alias("span"))
+    return passages.map_spans(s, _turns(spark, d))

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quillwork.operators import chunking, funnel, graph, retrieval, similarity
+from quillwork.operators import chunking, funnel, graph, passages, retrieval, similarity
 
 
 def test_ranges():
@@ -43,7 +43,7 @@ def test_measures(spark):
 def test_decide(spark):
     rows = [("p", False, "high"), ("p", False, None), ("q", True, "low"), ("r", True, "low"), ("r", True, "low")]
     got = {r.path: (r.decision, r.confidence) for r in funnel.decide(spark.createDataFrame(rows, "path string, solvable boolean, confidence string")).collect()}
-    assert got == {"p": ("pass", 0.75), "q": ("reject_single_hop", 0.0), "r": ("reject_trivial", 0.0)}
+    assert got == {"p": ("pass", 0.85), "q": ("reject_single_hop", 0.0), "r": ("reject_trivial", 0.0)}
 
 
 def test_filter_reasons(spark):
@@ -78,3 +78,22 @@ def test_pending(spark):
     jobs = spark.range(1).select(F.lit("p1").alias("p"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("i"))
     done = spark.createDataFrame([("p1", 0)], "p string, i int")
     assert sorted(r.i for r in funnel.pending(jobs, done, ["p", "i"]).collect()) == [1, 2, 3]
+
+
+def test_passages(spark):
+    c = spark.createDataFrame([(1, 0, "alpha beta"), (1, 1, "Gamma delta"), (1, 2, None), (1, 3, "gamma"), (2, 0, "x" * 10), (2, 1, "y" * 5)], "doc long, idx long, chunk_text string")
+    e = spark.createDataFrame([(1, "GAMMA"), (1, "none"), (2, "x")], "doc long, entity string")
+    got = sorted(tuple(r) for r in passages.hints(c, e, 2).collect())
+    assert got == [(1, "GAMMA", 1), (1, "GAMMA", 3), (1, "none", 0), (1, "none", 1), (2, "x", 0)]
+    lead = {r.doc: (r.text, r.n_chunks) for r in passages.leading_text(c, 10).collect()}
+    assert lead == {1: ("alpha beta", 1), 2: ("x" * 10, 1)}
+    s = spark.createDataFrame([(7, 1, ' "delta" '), (8, 1, "absent"), (9, 3, "x"), (5, 1, "")], "id long, doc long, span string")
+    assert [tuple(r) for r in passages.map_spans(s, c).collect()] == [(7, 1, 1, 6, 11)]
+    row = spark.range(1).select(passages.block("A", F.lit("d1"), F.lit("T"), F.array(F.lit("one"), F.lit("two"))).alias("b")).first()
+    assert row.b == '--- Document A (doc_id: d1, title: "T") ---\none\ntwo\n'
+
+
+def test_cluster_keep():
+    pairs = {(1, 2), (2, 3)}
+    assert similarity.cluster_keep([1, 2, 3], [0.5, 0.9, 0.7], pairs) == [2]
+    assert similarity.cluster_keep([1, 2, 3], [0.9, 0.5, 0.7], pairs) == [1, 3]
