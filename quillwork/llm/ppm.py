@@ -1,18 +1,24 @@
 """Prediction by partial matching over bytes, pretrained on the corpus, and unigram word scores.
 
-The model counts, for each context of up to two bytes, which byte follows. A text is its bytes between two start marks
-and an end mark (byte 255, which UTF-8 never has). A byte not seen after a context escapes to the next shorter one,
-with the escape estimate of method C (distinct bytes seen over total plus distinct), and the bytes that the longer
-context has seen are excluded there; below order 0 all bytes not yet excluded are equally likely. As the model is
-fixed while it scores, the whole descent is known for each context and byte: it is a table of 2^24 log-probabilities
-(64 MB), which bounds what a worker holds. Counts travel as at most 2^24 sparse rows.
-
-Word scores need a count for each token of each text. Texts are dealt into chunks, each chunk sends its distinct words
-once, the words' totals come back to the chunk, and the chunk's texts are scored there.
+The model counts, for each context of up to `order` bytes, which byte follows. A text is its bytes between `order`
+start marks and an end mark (byte 255, which UTF-8 never has). A byte not seen after a context escapes to the next
+shorter one, with the escape estimate of method C (distinct bytes seen over total plus distinct), and the bytes that
+the longer context has seen are excluded there; below order 0 all bytes not yet excluded are equally likely.
+
+The trie of contexts is sharded over executors by the last three bytes of the context, so a shard has every node of
+order 3 and more on the way down to its grams (a gram is a context and the byte after it); the nodes of orders 0 to 2,
+at most 2^24 grams, go to all. Texts are dealt into chunks. Each chunk sends its distinct grams with their training
+counts to their shards, packed; a shard sums them, builds its part of the trie, and sends each chunk the
+log-probabilities of that chunk's grams and no others. As a longer context sees a subset of what its suffix sees, what
+is excluded after a context depends on the context alone, and each node has its sums ready.
+
+Word scores need a count for each token of each text. Each chunk sends its distinct words once, the words' totals come
+back to the chunk, and the chunk's texts are scored there.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, partitions, prepare, remainder, slices, stash, with_rid
+from .common import buffers, mix, partitions, prepare, remainder, slices, stash, with_rid
 
 MARK = 255
 
@@ -32,106 +38,236 @@ class Settings:
     modulus: int = 7
     held_out: int = 2  # remainder that is not learned from
     slice_bytes: int = 2 << 20
+    order: int = 2  # bytes of the longest context, 2 to 6
 
 
-def symbols(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols, offsets): each text with two marks before and one after."""
+def symbols(col: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, offsets): each text with order marks before and one after."""
     data, off = buffers(col)
     m = len(off) - 1
-    o = off + 3 * np.arange(m + 1)
+    o = off + (order + 1) * np.arange(m + 1)
     out = np.full(o[-1], MARK, np.uint8)
     n = np.diff(off)
-    out[np.repeat(o[:-1] + 2 - off[:-1], n) + np.arange(off[-1])] = data
+    out[np.repeat(o[:-1] + order - off[:-1], n) + np.arange(off[-1])] = data
     return out, o
 
 
-def trigrams(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def grams(col: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
     """(context and byte as one number, offsets): one for each byte of a text and its end mark."""
-    s, o = symbols(col)
-    wide = s.astype(np.int32)
-    code = (wide[:-2] << 16) | (wide[1:-1] << 8) | wide[2:] if len(s) > 2 else np.zeros(0, np.int32)
-    m = len(o) - 1
+    s, o = symbols(col, order)
+    n = max(len(s) - order, 0)
+    code = np.zeros(n, np.int64)
+    for j in range(order + 1):
+        code <<= 8
+        code |= s[j : j + n]
     inner = np.ones(len(s), bool)
-    inner[o[:-1]] = False
-    inner[o[:-1] + 1] = False
-    return code[inner[2:]] if len(s) > 2 else code, o - 2 * np.arange(m + 1)
-
-
-def table(gram: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """log10 probability of each byte after each context of two bytes, float32, flat."""
-    c2 = np.zeros(1 << 24, np.float64)
-    c2[gram] = count
-    c2 = c2.reshape(256, 256, 256)
-    # shorter contexts see what the longer ones see
-    c1 = c2.sum(0)
-    c0 = c1.sum(0)
-
-    def level(counts: np.ndarray, excluded: np.ndarray, lower) -> np.ndarray:
-        """Probabilities after one context. excluded: bytes seen by the longer one; lower: of the next shorter one, given what is then excluded."""
-        seen = counts > 0
-        c = np.where(excluded, 0.0, counts)
-        total, distinct = c.sum(), (c > 0).sum()
-        if total == 0:
-            return lower(excluded)
-        out = c / (total + distinct)
-        rest = ~(excluded | seen)
-        if rest.any():
-            out[rest] = distinct / (total + distinct) * lower(excluded | seen)[rest]
+    for j in range(order):
+        inner[o[:-1] + j] = False
+    return code[inner[order:]], o - order * np.arange(len(o))
+
+
+def summed(gram: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams in order, with the sums of their counts."""
+    at = np.argsort(gram, kind="stable")
+    gram = gram[at]
+    first = np.flatnonzero(np.diff(gram, prepend=-1))
+    return gram[first], np.add.reduceat(count[at], first) if len(first) else count[:0]
+
+
+def place(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index, found) of each x in sorted keys."""
+    if not len(keys):
+        return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+    i = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+    return i, keys[i] == x
+
+
+def slot(x: np.ndarray, bits: int) -> np.ndarray:
+    return ((x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class Lookup:
+    """Values by distinct grams: open addressing, probed for whole arrays at a time."""
+
+    def __init__(self, gram: np.ndarray, value: np.ndarray):
+        self.bits = max(4, int(4 * len(gram)).bit_length())
+        self.gram, self.value = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, value.dtype)
+        at, todo = slot(gram, self.bits), np.arange(len(gram))
+        while len(todo):
+            i = at[todo]
+            free = self.gram[i] == -1
+            self.gram[i[free]] = gram[todo[free]]  # of several for one slot the last stays
+            mine = self.gram[i] == gram[todo]
+            self.value[i[mine]] = value[todo[mine]]
+            todo = todo[~mine]
+            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        """The values of grams, all of which must be there."""
+        i = slot(x, self.bits)
+        out = self.value[i]
+        todo = np.flatnonzero(self.gram[i] != x)
+        while len(todo):
+            i[todo] = (i[todo] + 1) & ((1 << self.bits) - 1)
+            out[todo] = self.value[i[todo]]
+            todo = todo[self.gram[i[todo]] != x[todo]]
         return out
 
-    def flat(excluded: np.ndarray) -> np.ndarray:
-        n = (~excluded).sum()
-        return np.full(256, 1.0 / n if n else 1.0)
 
-    none = np.zeros(256, bool)
-    order0 = lambda ex: level(c0, ex, flat)
-    out = np.empty((256, 256, 256), np.float32)
-    bare = [np.log10(level(c1[b], none, order0)).astype(np.float32) for b in range(256)]
-    some = c2.any(2)
-    for a in range(256):
-        for b in range(256):
-            out[a, b] = np.log10(level(c2[a, b], none, lambda ex, b=b: level(c1[b], ex, order0))) if some[a, b] else bare[b]
-    return out.reshape(-1)
+@dataclass(frozen=True)
+class Level:
+    """The nodes of one order: grams with counts; contexts with their total, their distinct bytes, and the total that these bytes have after the next shorter context."""
+
+    gram: np.ndarray
+    count: np.ndarray
+    context: np.ndarray
+    total: np.ndarray
+    distinct: np.ndarray
+    below: np.ndarray
+
+
+def levels(gram: np.ndarray, count: np.ndarray, order: int, known: list[Level]) -> list[Level]:
+    """Levels 0..order of grams (distinct, in order) that were learned; known: the lowest levels, if built already."""
+    grams_of = {order: (gram, count)}
+    for n in range(order - 1, len(known) - 1, -1):
+        g, c = grams_of[n + 1]
+        grams_of[n] = summed(g & ((1 << 8 * (n + 1)) - 1), c)
+    out = list(known)
+    for n in range(len(known), order + 1):
+        g, c = grams_of[n]
+        context = g >> 8
+        first = np.flatnonzero(np.diff(context, prepend=-1))
+        add = lambda v, first=first: np.add.reduceat(v, first) if len(first) else v[:0]
+        low = out[n - 1].count[place(out[n - 1].gram, g & ((1 << 8 * n) - 1))[0]] if n and len(g) else np.zeros(len(g), np.int64)
+        out.append(Level(g, c, context[first], add(c), np.diff(np.append(first, len(g))), add(low)))
+    return out
+
+
+def chances(query: np.ndarray, trie: list[Level]) -> np.ndarray:
+    """log10 probability of the last byte of each gram after the bytes before it, float64."""
+    out, left = np.zeros(len(query)), np.ones(len(query), bool)
+    gone_total, gone = np.zeros(len(query), np.int64), np.zeros(len(query), np.int64)  # of the bytes excluded
+    for n in range(len(trie) - 1, -1, -1):
+        v, x = trie[n], query & ((1 << 8 * (n + 1)) - 1)
+        i, known = place(v.context, x >> 8)
+        at = lambda a, i=i, known=known: np.where(known, a[i], 0) if len(a) else np.zeros(len(i), np.int64)
+        distinct = at(v.distinct)
+        new = distinct - gone
+        size = (at(v.total) - gone_total + new).astype(np.float64)
+        j, has = place(v.gram, x)
+        hit, escape = left & has, left & ~has & (new > 0)
+        out[hit] += np.log10(v.count[j[hit]] / size[hit]) if hit.any() else 0.0
+        out[escape] += np.log10(new[escape] / size[escape])
+        left &= ~has
+        gone_total, gone = at(v.below), distinct
+    out[left] -= np.log10(256.0 - gone[left])
+    return out
+
+
+def pack(x: np.ndarray) -> bytes:
+    """Longs as zstandard of the byte planes of their differences."""
+    import zstandard
+
+    d = np.diff(x.astype("<i8"), prepend=np.int64(0))
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def unpack(x: bytes) -> np.ndarray:
+    import zstandard
+
+    b = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8)
+    return np.cumsum(np.ascontiguousarray(b.reshape(8, -1).T).reshape(-1).view("<i8"))
+
 
+def _count_chunks(s: Settings, shards: int):
+    """Rows of a chunk: its distinct words (w, n) and grams (shard, grams, counts) with training counts; and training trigrams (gram, n) of the task."""
 
-def _count_chunks(s: Settings):
-    """Rows of a chunk: distinct words with their training counts (word, n), and training trigrams (gram, n)."""
+    def row(size: int, **cols) -> pa.RecordBatch:
+        return pa.record_batch([cols[f.name] if f.name in cols else pa.nulls(size, f.type) for f in _COUNTED], schema=_COUNTED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[int, list[tuple[pa.Array, np.ndarray]]] = {}
-        grams = np.zeros(1 << 24, np.int32)
+        trees: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        tri = np.zeros(1 << 24, np.int32)
         held: dict[int, int] = {}
 
-        def out(chunk: int) -> pa.RecordBatch:
+        def out(chunk: int) -> Iterator[pa.RecordBatch]:
             parts = words.pop(chunk)
             held.pop(chunk)
             t = pa.table({"w": pa.concat_arrays([w for w, _ in parts]), "n": np.concatenate([n for _, n in parts])}).group_by("w").aggregate([("n", "sum")])
             w = t["w"].combine_chunks()
-            return pa.record_batch([pa.array(np.full(len(w), chunk, np.int64)), w, t["n_sum"].combine_chunks(), pa.nulls(len(w), pa.int32())], names=["chunk", "w", "n", "gram"])
+            yield row(len(w), chunk=pa.array(np.full(len(w), chunk, np.int64)), w=w, n=t["n_sum"].combine_chunks())
+
+        def tree(chunk: int) -> Iterator[pa.RecordBatch]:
+            g, c = trees.pop(chunk)
+            context = (g >> 8) & 0xFFFFFF
+            shard = (mix(context.astype(np.uint64), 3) % np.uint64(shards)).astype(np.int64)
+            at = np.argsort(shard, kind="stable")
+            ends = np.append(np.flatnonzero(np.diff(shard[at], prepend=-1)), len(at))
+            mine = [at[i:j] for i, j in zip(ends[:-1], ends[1:], strict=True)]
+            m = len(mine)
+            yield row(m, chunk=pa.array(np.full(m, chunk, np.int64)), shard=pa.array([int(shard[x[0]]) for x in mine], pa.int32()), grams=pa.array([pack(g[x]) for x in mine], pa.binary()), counts=pa.array([pack(c[x]) for x in mine], pa.binary()))
 
         for whole in batches:
             for b in slices(whole, "text", s.slice_bytes):
                 train = np.asarray(b.column("train").fill_null(True).cast(pa.int8()), dtype=np.int64)
-                g, _ = trigrams(b.column("text").filter(b.column("train").fill_null(True)))
-                u, n = np.unique(g, return_counts=True)
-                grams[u] += n.astype(np.int32)
+                chunks = np.asarray(b.column("chunk"))
                 enc, off, _ = tokens(b.column("text"))
                 doc = np.repeat(np.arange(b.num_rows), np.diff(off))
                 code = np.asarray(enc.indices)
-                chunks = np.asarray(b.column("chunk"))
                 for c in np.unique(chunks):
+                    for learned in (0, 1):
+                        g, _ = grams(b.column("text").filter(pa.array((chunks == c) & (train == learned))), s.order)
+                        u, n = np.unique(g, return_counts=True)
+                        if learned:
+                            u3, at3 = np.unique(u & 0xFFFFFF, return_inverse=True)
+                            tri[u3] += np.bincount(at3, weights=n, minlength=len(u3)).astype(np.int32)
+                        old = trees.get(int(c), (u[:0], n[:0]))
+                        trees[int(c)] = summed(np.concatenate([old[0], u]), np.concatenate([old[1], n * learned]))
                     mine = chunks[doc] == c
                     k = np.bincount(code[mine], weights=train[doc[mine]], minlength=len(enc.dictionary)).astype(np.int64)
                     has = np.bincount(code[mine], minlength=len(enc.dictionary)) > 0
                     words.setdefault(int(c), []).append((enc.dictionary.filter(pa.array(has)), k[has]))
                     held[int(c)] = held.get(int(c), 0) + int(has.sum())
                 while sum(held.values()) > 2_000_000:
-                    yield out(max(held, key=held.get))
+                    yield from out(max(held, key=held.get))
+                while sum(len(g) for g, _ in trees.values()) > 8_000_000:
+                    yield from tree(max(trees, key=lambda c: len(trees[c][0])))
         for c in list(words):
-            yield out(c)
-        u = np.flatnonzero(grams)
+            yield from out(c)
+        for c in list(trees):
+            yield from tree(c)
+        u = np.flatnonzero(tri)
         if len(u):
-            yield pa.record_batch([pa.nulls(len(u), pa.int64()), pa.nulls(len(u), pa.string()), pa.array(grams[u].astype(np.int64)), pa.array(u.astype(np.int32))], names=["chunk", "w", "n", "gram"])
+            yield row(len(u), n=pa.array(tri[u].astype(np.int64)), gram=pa.array(u.astype(np.int32)))
+
+    return run
+
+
+_COUNTED = pa.schema([("chunk", pa.int64()), ("w", pa.string()), ("n", pa.int64()), ("gram", pa.int32()), ("shard", pa.int32()), ("grams", pa.binary()), ("counts", pa.binary())])
+_near: dict[str, list[Level]] = {}
+
+
+def _shard(s: Settings, model, key: str):
+    """The part of the trie below some contexts of three bytes: (chunk, grams, logs) for each row of grams of a chunk."""
+
+    def run(t: pa.Table) -> pa.Table:
+        if key not in _near:
+            _near.clear()
+            _near[key] = levels(*model.value, 2, [])
+        gram, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        parts, size = [(gram, count)], 0
+        rows = list(zip(t["chunk"].to_pylist(), t["grams"].to_pylist(), t["counts"].to_pylist(), strict=True))
+        for _, g, c in rows:
+            g, c = unpack(g), unpack(c)
+            parts.append((g[c > 0], c[c > 0]))
+            size += len(g)
+            if size > 4_000_000:
+                parts, size = [summed(*map(np.concatenate, zip(*parts, strict=True)))], 0
+        gram, count = summed(*map(np.concatenate, zip(*parts, strict=True)))
+        trie = levels(gram, count, s.order, _near[key]) if s.order > 2 else _near[key]
+        logs = [chances(unpack(g), trie).astype(np.float32).tobytes() for _, g, _ in rows]
+        return pa.table({"chunk": pa.array([c for c, _, _ in rows], pa.int64()), "grams": pa.array([g for _, g, _ in rows], pa.binary()), "logs": pa.array(logs, pa.binary())})
 
     return run
 
@@ -149,19 +285,14 @@ def tokens(col: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray, pa.Array]:
     return flat.filter(real).dictionary_encode(), total[off - off[0]], flat
 
 
-_tables: dict[int, np.ndarray] = {}
-
-
-def _score(s: Settings, model, sums):
-    """Score the texts of a chunk, given the chunk's words with their totals."""
+def _score(s: Settings, sums):
+    """Score the texts of a chunk, given the chunk's words with their totals and its grams with their log-probabilities."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        gram, count = model.value
-        key = id(model)
-        if key not in _tables:
-            _tables.clear()
-            _tables[key] = table(gram, count)
-        logs = _tables[key]
+        tree = right.filter(pc.is_valid(right["grams"]))
+        gram = np.concatenate([np.zeros(0, np.int64), *map(unpack, tree["grams"].to_pylist())])
+        logs = np.concatenate([np.zeros(0, np.float32), *[np.frombuffer(x, np.float32) for x in tree["logs"].to_pylist()]])
+        lookup = Lookup(gram, logs)
         total, ends, distinct = sums
         known = right.filter(pc.greater(right["c"], 0))
         vocabulary = known["w"].combine_chunks()
@@ -183,8 +314,8 @@ def _score(s: Settings, model, sums):
                 add = lambda v: _sums(v[code], off)
                 end_log = np.log10(ends + 1.0)
                 score = add(logc) + end_log - base * (n + 1)
-                g, go = trigrams(b.column("text"))
-                out.append(pa.record_batch([b.column("_rid"), b.column("doc_id"), pc.invert(b.column("train").fill_null(True)), pa.array(n + 1), pa.array(_sums(ok.astype(np.int64)[code], off) + int(ends > 0)), pa.array(np.full(len(n), total)), pa.array(score), pa.array(_sums(logs[g].astype(np.float64), go))], names=["_rid", "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
+                g, go = grams(b.column("text"), s.order)
+                out.append(pa.record_batch([b.column("_rid"), b.column("doc_id"), pc.invert(b.column("train").fill_null(True)), pa.array(n + 1), pa.array(_sums(ok.astype(np.int64)[code], off) + int(ends > 0)), pa.array(np.full(len(n), total)), pa.array(score), pa.array(_sums(lookup(g).astype(np.float64), go))], names=["_rid", "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
         return pa.Table.from_batches(out) if out else _EMPTY.empty_table()
 
     return run
@@ -218,18 +349,19 @@ def score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     d = with_rid(base).select("_rid", F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"), train.alias("train"))
     d = d.withColumn("chunk", F.pmod(F.xxhash64("_rid"), F.lit(n)).cast("long"))
     dealt = d.repartition(n, "chunk")
-    counted = stash(dealt.mapInArrow(_count_chunks(s), "chunk long, w string, n long, gram int"), "counted")
-    word = counted.filter("chunk is not null").select("chunk", "w", "n")
+    counted = stash(dealt.mapInArrow(_count_chunks(s, n), "chunk long, w string, n long, gram int, shard int, grams binary, counts binary"), "counted")
+    word = counted.filter("w is not null").select("chunk", "w", "n")
     totals = stash(word.groupBy("w").agg(F.sum("n").alias("c")), "totals")
     known = totals.filter("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = d.filter("train").count()
     sums = (known["n"] + ends, ends, known["v"] + (ends > 0))
-    grams = counted.filter("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()  # 2^24 rows at most
-    model = spark.sparkContext.broadcast((np.asarray(grams["gram"]), np.asarray(grams["n"])))
-    back = word.select("chunk", "w").join(totals.filter("c > 0"), "w").select("chunk", "w", "c")
+    low = counted.filter("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")).orderBy("gram").toArrow()  # 2^24 rows at most
+    model = spark.sparkContext.broadcast((np.asarray(low["gram"], dtype=np.int64), np.asarray(low["n"], dtype=np.int64)))
+    tree = counted.filter("shard is not null").select("shard", "chunk", "grams", "counts").groupBy("shard").applyInArrow(_shard(s, model, uuid.uuid4().hex), "chunk long, grams binary, logs binary")
+    back = word.select("chunk", "w").join(totals.filter("c > 0"), "w").select("chunk", "w", "c").unionByName(tree, allowMissingColumns=True)
     schema = "_rid long, doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return dealt.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_score(s, model, sums), schema).drop("_rid")
+    return dealt.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_score(s, sums), schema).drop("_rid")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return score(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return score(spark.read.parquet(f"{sf_dir}/documents.parquet"), Settings(order=5))

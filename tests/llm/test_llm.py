@@ -250,3 +250,34 @@ def test_licences(spark):
     assert (got[2].licence, got[2].inherited_from) == ("MIT", "a/b") and got[3].licence is None
     assert (got[4].licence, got[4].own_licence, got[4].inherited_from) == ("CC-BY-NC-4.0", "CC-BY-NC-4.0", None) and got[5].licence is None
     assert licences.scan(files.limit(0), licences.template_rows(spark)).count() == 0
+
+
+def test_scores_by_long_contexts(spark, tmp_path):
+    """The query's model uses contexts of five bytes: against a brute-force descent through all contexts."""
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(TEXTS)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    ctx = {}
+    marked = lambda t: b"\xff" * 5 + (t or "").encode() + b"\xff"
+    for i, t in enumerate(TEXTS):
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            b = marked(t)
+            for k in range(5, len(b)):
+                for n in range(6):
+                    ctx.setdefault(b[k - n : k], Counter())[b[k]] += 1
+
+    def chance(b, k):
+        out, gone = 1.0, set()
+        for n in range(5, -1, -1):
+            seen = {x: m for x, m in ctx.get(b[k - n : k], {}).items() if x not in gone}
+            total = sum(seen.values()) + len(seen)
+            if b[k] in seen:
+                return out * seen[b[k]] / total
+            if seen:
+                out *= len(seen) / total
+                gone |= set(seen)
+        return out / (256 - len(gone))
+
+    got = {r.doc_id: r.score for r in ppm.query(spark, str(tmp_path)).collect()}
+    for i, t in enumerate(TEXTS):
+        b = marked(t)
+        assert got[i] == pytest.approx(sum(np.log10(chance(b, k)) for k in range(5, len(b))), rel=1e-5), i
