@@ -58,14 +58,15 @@ def sketches(items: DataFrame, s: Settings) -> DataFrame:
     return h.select("item", "n", F.explode("sketch").alias("hash")).withColumn("least", F.ceil(F.col("n") * s.percent / 100).cast("int"))
 
 
-def leaks(docs: DataFrame, items: DataFrame, s: Settings = Settings()) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, s: Settings = Settings(), numbered: bool = False) -> DataFrame:
     """Pairs (_rid, doc_id, item_id, n_item, n_shared, containment) of texts and items that they hold.
 
     Items are compared by their distinct shingles; null or wordless items and texts hold nothing and match nothing.
     Repeated doc_ids: a pair for each row; repeated item rows with equal text: one pair for each item_id. Empty tables
     give an empty result. Only doc_id, item_id and text are read. A frequent passage costs one row for each text.
+    numbered: docs has its _rid from with_rid already; a second numbering of repeated ids may differ from the first.
     """
-    docs = with_rid(docs.select("doc_id", "text"))
+    docs = docs.select("_rid", "doc_id", "text") if numbered else with_rid(docs.select("doc_id", "text"))
     items = items.select("item_id", "text").distinct().withColumn("item_id", F.struct("item_id", F.xxhash64("text").alias("v")))
     index = stash(sketches(items, s), "index")
     h = docs.select("_rid", shingle_hashes(F.col("text"), s.shingle).alias("h"))
@@ -100,5 +101,6 @@ from ds join bs using (s) join n using (item_id) group by doc_id, item_id, n_ite
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark item go."""
-    found = leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("_rid").distinct()
-    return with_rid(docs).join(found, "_rid", "left_anti").select(*docs.columns)
+    named = with_rid(docs)
+    found = leaks(named, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), numbered=True).select("_rid").distinct()
+    return named.join(found, "_rid", "left_anti").select(*docs.columns)

@@ -237,17 +237,18 @@ def _joined(comp: DataFrame | None, found: DataFrame, s: Settings) -> DataFrame:
     return components(found if comp is None else comp.select(F.col("r").alias("a"), F.col("c").alias("b")).union(found), s.one_task_links)
 
 
-def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+def near_duplicates(docs: DataFrame, s: Settings = Settings(), numbered: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept (and the row id _rid).
 
     component_id is the least doc_id that links reach, kept whether it is the own one. A null or wordless text has an
     empty set and is linked with nothing, not even with another empty one. Copies are linked through their class.
     Repeated or null doc_ids: each row is a document of its own; of rows with the least id of a component, the first
     is kept. An empty table gives an empty result. Only _rid, doc_id and text are read; other columns may have any name.
+    numbered: docs has its _rid from with_rid already; a second numbering of repeated ids may differ from the first.
     """
     spark = docs.sparkSession
     prepare(spark)
-    docs = with_rid(docs.select("doc_id", "text"))
+    docs = docs.select("_rid", "doc_id", "text") if numbered else with_rid(docs.select("doc_id", "text"))
     schema = "_rid long, doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
     sig = stash(docs.select("_rid", F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_signatures(s), schema), "signatures")
     real = sig.filter("n_shingles > 0")
@@ -299,5 +300,5 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each group of near duplicates stays, the one with the least doc_id."""
     prepare(spark)
     named = with_rid(docs)
-    gone = near_duplicates(docs).filter("not kept").select("_rid")
+    gone = near_duplicates(named, numbered=True).filter("not kept").select("_rid")
     return named.join(gone, "_rid", "left_anti").select(*docs.columns)

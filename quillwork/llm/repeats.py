@@ -349,7 +349,7 @@ def repeated_spans(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     return spans.union(stash(found, "found"))
 
 
-def remove_repeats(docs: DataFrame, s: Settings = Settings(), want_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, s: Settings = Settings(), want_text: bool = False, numbered: bool = False) -> DataFrame:
     """One row per input row: _rid, doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_text, spans if wanted).
 
     A byte goes if a string of s.length bytes covers it that also starts earlier, in a smaller doc_id or earlier in
@@ -357,8 +357,9 @@ def remove_repeats(docs: DataFrame, s: Settings = Settings(), want_text: bool =
     or null doc_ids: each row is a document, in the order of (doc_id, text). An empty table gives an empty result.
     kept_text leaves out what a cut left of a
     character. Other columns of the input are not read.
+    numbered: docs has its _rid from with_rid already; a second numbering of repeated ids may differ from the first.
     """
-    named = with_rid(docs.select("doc_id", "text"))
+    named = docs.select("_rid", "doc_id", "text") if numbered else with_rid(docs.select("doc_id", "text"))
     spans = repeated_spans(named, s)
     by_doc = spans.groupBy(F.col("r").alias("_rid")).agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     text = named.select("_rid", "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -379,7 +380,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: texts without their repeated strings; characters cut at an edge go whole. n_chars follows."""
     prepare(spark)
     named = with_rid(docs)
-    left = remove_repeats(docs, want_text=True).filter("n_removed > 0").select("_rid", F.col("kept_text").alias("_kept"))
+    left = remove_repeats(named, want_text=True, numbered=True).filter("n_removed > 0").select("_rid", F.col("kept_text").alias("_kept"))
     both = named.join(left, "_rid", "left")
     text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(F.col("_kept"))
     return both.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)

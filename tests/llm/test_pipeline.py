@@ -110,3 +110,27 @@ def test_pipeline_empty(spark, tmp_path):
     spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_number_once(spark, tmp_path, monkeypatch):
+    """Repeated and null ids, with a numbering that differs from call to call, as on large tables."""
+    from quillwork.llm import decontaminate, minhash, repeats
+    from quillwork.llm.common import with_rid
+
+    calls = []
+
+    def other(docs, *args):
+        calls.append(1)
+        return with_rid(docs, *args).selectExpr("* except (_rid)", f"_rid + {1000 * len(calls)} as _rid")
+
+    for m in (decontaminate, minhash, repeats):
+        monkeypatch.setattr(m, "with_rid", other)
+    g = random.Random(3)
+    prose = lambda n: " ".join("".join(g.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    a, b, item = prose(80), prose(80), prose(30)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame = lambda *rows: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], COLUMNS)
+    texts = lambda stage, d: sorted(r.text for r in stage(spark, d, str(tmp_path)).collect())
+    assert texts(minhash.stage, frame((1, a), (1, a), (None, b))) == sorted([a, b])
+    assert texts(decontaminate.stage, frame((1, a), (1, b + " " + item), (None, b))) == sorted([a, b])
+    assert texts(repeats.stage, frame((1, a), (1, a), (None, b))) == sorted(["", a, b])
