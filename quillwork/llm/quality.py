@@ -30,22 +30,19 @@ class Rules:
 
 
 def has_phrase(line: Column) -> Column:
-    low, out = F.lower(line), F.lit(False)
-    for p in BOILERPLATE:
-        out = out | F.contains(low, F.lit(p))
-    return out
+    def of(low: Column) -> Column:
+        out = F.lit(False)
+        for p in BOILERPLATE:
+            out = out | F.contains(low, F.lit(p))
+        return out
 
-
-def may_have_phrase(ws: Column) -> Column:
-    """Whether a word of the text begins a boilerplate phrase: one hash probe, before any search in lines."""
-    first = [p.split()[0] for p in BOILERPLATE]
-    return F.arrays_overlap(ws, F.array(*[F.lit(x) for x in dict.fromkeys([*first, *map(str.title, first), *map(str.upper, first)])]))
+    return let(F.lower(line), of)
 
 
 def line_fails(line: Column, rules: Rules, phrases: Column) -> Column:
     """True for a line that breaks a punctuation, navigation or boilerplate rule. Lines without a word never fail.
 
-    phrases: whether the document may have a boilerplate phrase at all; the line is searched only then.
+    phrases: whether the document has a boilerplate phrase at all (has_phrase of its text); the line is searched only then.
     """
     white, word = r"[ \t\n\x0B\f\r]", r"[^ \t\n\x0B\f\r]"
     few = line.rlike(rf"^{white}*{word}+({white}+{word}+){{0,{rules.short_line_words - 2}}}{white}*$")
@@ -98,7 +95,7 @@ def measures(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     d = docs.withColumn("_w", words(t)).withColumn("_l", F.split(t, "\n"))
     d = d.withColumn("_real", F.filter("_l", has_word))
     # let: the optimiser would otherwise move the first argument into the lambda, and so to every line
-    lines = lambda keep: let(may_have_phrase(F.col("_w")), lambda p: F.filter("_l", lambda x: keep(line_fails(x, rules, p))))
+    lines = lambda keep: let(has_phrase(t), lambda p: F.filter("_l", lambda x: keep(line_fails(x, rules, p))))
     d = d.withColumn("_bad", lines(lambda fails: fails))
     d = d.withColumns({
         "n_words": F.size("_w").cast("long"),

@@ -66,6 +66,13 @@ def test_quality_lines(spark):
     assert r.kept and r.lost_words == 12 and "Home" not in r.clean_text and "reserved" not in r.clean_text
 
 
+def test_quality_phrase_within_words(spark):
+    lines = ["[Click here]", "(Sign in to read on", '"Powered by us', "•Privacy Policy of ours", "all\u00a0rights reserved by us"]
+    rows = [(i, prose(60) + ".\n" + x + ".") for i, x in enumerate(lines)]
+    got = {r.doc_id: r.lost_words for r in quality.measures(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: len(WORD.findall(x)) for i, x in enumerate(lines)}
+
+
 def test_sorting():
     for it in range(60):
         g = random.Random(it)
