@@ -229,7 +229,10 @@ def cosine_pairs(spark, d):
 @query("jaccard_pairs")
 def jaccard_pairs(spark, d):
     """One row per document: its class and the number of its links to other classes."""
-    classes, pairs = similarity.jaccard_pairs(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), 0.85)
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    classes, pairs = similarity.jaccard_pairs(docs, 0.85)
+    bare = docs.filter(~F.coalesce(F.size(tx.content_set(F.col("text"))) > 0, F.lit(False)))  # no content token: a class of its own
+    classes = classes.union(bare.select("id", F.col("id").alias("rep")))
     links = pairs.select("a").union(pairs.select("b")).groupBy(F.col("a").alias("rep")).agg(F.count(F.lit(1)).alias("links"))
     return classes.join(links, "rep", "left").select(F.col("id").alias("doc_id"), F.col("rep").alias("class_id"), F.coalesce("links", F.lit(0).cast("long")).alias("n_links"))
 

@@ -97,3 +97,12 @@ def test_cluster_keep():
     pairs = {(1, 2), (2, 3)}
     assert similarity.cluster_keep([1, 2, 3], [0.5, 0.9, 0.7], pairs) == [2]
     assert similarity.cluster_keep([1, 2, 3], [0.9, 0.5, 0.7], pairs) == [1, 3]
+
+
+def test_jaccard_pairs_of_every_document(spark, tmp_path):
+    from quillwork.plans import catalogue
+
+    texts = ["red fox jumps", "red fox jumps", None, "", "the of and", "слова без латиницы", "日本語"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in catalogue.jaccard_pairs(spark, str(tmp_path)).collect())
+    assert got == [(0, 0, 0), (1, 0, 0), *[(i, i, 0) for i in range(2, 7)]]
