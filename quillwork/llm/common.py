@@ -12,6 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +33,7 @@ def prepare(spark: SparkSession) -> None:
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(x for x in (ROOT, env.get("PYTHONPATH", "")) if x)
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")  # workers are used again; other pools keep what a batch took
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
 
@@ -144,9 +146,34 @@ def string_hashes(col: pa.Array) -> np.ndarray:
     return np.fromiter((f(x) for x in col.cast(pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary()).to_pylist()), np.uint64, len(col))
 
 
-def unlink(path: str) -> None:
-    if os.path.exists(path):
-        os.unlink(path)
+class Known:
+    """Ids of the words that a worker has met, in arrays: a word's ids are flat[first : first + size]."""
+
+    def __init__(self, most: int):
+        self.most = most  # words, and 32 times as many bytes; beyond it, the memory starts anew
+        self.clear()
+
+    def clear(self) -> None:
+        self.words = pa.array([], pa.string())
+        self.first, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def find(self, names: pa.Array) -> np.ndarray:
+        """Index of each name, -1 for a new one."""
+        return np.asarray(pc.index_in(names, value_set=self.words).fill_null(-1), dtype=np.int64)
+
+    def ids(self, names: pa.Array, encode) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first, size, flat) of distinct names; encode(new names) gives (size, flat) of those not met before."""
+        if len(self.words) > self.most or self.words.nbytes > 32 * self.most:
+            self.clear()
+        at = self.find(names)
+        new = names.filter(pa.array(at < 0))
+        if len(new):
+            size, flat = encode(new)
+            self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size) - size])
+            self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat.astype(np.uint32)])
+            at[at < 0] = np.arange(len(self.words), len(self.words) + len(new))
+            self.words = pa.concat_arrays([self.words, new])
+        return self.first[at], self.size[at], self.flat
 
 
 DOC_FIELDS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])

@@ -11,6 +11,7 @@ from the end of the file and then only the frames of the documents it wants.
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -18,12 +19,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, partitions, prepare, scratch, slices, stash, with_rid
+from .common import Known, buffers, partitions, prepare, scratch, slices, stash, with_rid
 from .store import published, random_access
 
 SEEK_MAGIC, DOCS_MAGIC, END_MAGIC = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
@@ -128,33 +130,102 @@ class Reader:
                 i += 1
 
 
-_lib: dict[str, object] = {}
-_words: dict[str, dict[str, np.ndarray]] = {}
+class Encoder:
+    """A tokenizer of the library, and what a worker remembers of the words that it has met."""
 
-
-def tokenizer(path: str):
-    if path not in _lib:
+    def __init__(self, s: Settings):
         import os
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        path = s.tokenizer
         if not path:
             import public_tokenizers
 
-            path_ = public_tokenizers.path("byte_bpe_50k.json")
-        t = Tokenizer.from_file(path_ if not path else path)
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
-        _lib[path] = t
-        _words[path] = {}
-    return _lib[path]
+            path = public_tokenizers.path("byte_bpe_50k.json")
+        self.lib = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        before, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        #: strings that the library takes out of a text before it looks at words
+        self.added = [x["content"] for x in spec.get("added_tokens", [])]
+        #: whether words can be encoded apart: byte-level pieces cut by the one public pattern, and nothing else at work
+        self.by_words = spec.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and model.get("type") == "BPE" and not model.get("dropout") and not any(x.get("lstrip") or x.get("rstrip") for x in spec.get("added_tokens", []))
+        self.known = Known(s.kept_words)
+        self.bytes_of = np.zeros(1 + max(self.lib.get_vocab().values()), np.int64)
+        for piece, i in self.lib.get_vocab().items():  # a byte is one character of a byte-level piece
+            self.bytes_of[i] = len(piece)
+
+    def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(sizes, ids) of texts, each by itself."""
+        size, flat = [], [np.zeros(0, np.uint32)]
+        for i in range(0, len(texts), 1024):
+            for e in self.lib.encode_batch_fast(texts[i : i + 1024], add_special_tokens=False):
+                x = np.array(e.ids, np.uint32)
+                size.append(len(x))
+                flat.append(x)
+        return np.array(size, np.int64), np.concatenate(flat)
+
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(sizes, ids) of words. Plain ones are joined and encoded many at a time.
+
+        A plain word has no white space but one leading space; one without it gets a line feed before it, which is a
+        piece of its own there. So the pattern cuts the joined text where the words meet.
+        """
+        data, off = buffers(words)
+        n = len(words)
+        odd = (data <= 32) | (data == 127) | (data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)) | (data >= 0xEE)
+        lead = data[off[:-1]] == 32
+        strange = np.add.reduceat(odd.astype(np.int64), off[:-1]) if n else np.zeros(0, np.int64)
+        plain = (strange - lead == 0) & (np.diff(off) > lead)
+        size, ids = np.zeros(n, np.int64), {}
+        rest = np.flatnonzero(~plain)
+        at = np.flatnonzero(plain)
+        for i in range(0, len(at), 8192):
+            part = at[i : i + 8192]
+            feed = (~lead[part]).astype(np.int64)
+            length = np.diff(off)[part] + feed
+            end = np.cumsum(length)
+            src = np.repeat(off[part] - (end - length) - feed, length) + np.arange(end[-1])
+            starts = end - length
+            joined = data[np.maximum(src, 0)]
+            joined[starts[feed > 0]] = 10
+            got = np.array(self.lib.encode_batch_fast([joined.tobytes().decode()], add_special_tokens=False)[0].ids, np.uint32)
+            to = np.concatenate([[0], np.cumsum(self.bytes_of[got])])
+            first = np.searchsorted(to, starts + feed)
+            last = np.searchsorted(to, end)
+            if to[-1] != end[-1] or not (np.array_equal(to[first], starts + feed) and np.array_equal(to[last], end)):
+                rest = np.concatenate([rest, part])
+                continue
+            size[part] = last - first
+            ids[i] = (part, got[np.repeat(first - (np.cumsum(last - first) - (last - first)), last - first) + np.arange((last - first).sum())])
+        if len(rest):
+            size[rest], x = self.each(words.take(pa.array(rest)).to_pylist())
+            ids[-1] = (rest, x)
+        start = np.cumsum(size) - size
+        flat = np.zeros(int(size.sum()), np.uint32)
+        for part, x in ids.values():
+            k = size[part]
+            flat[np.repeat(start[part] - (np.cumsum(k) - k), k) + np.arange(len(x))] = x
+        return size, flat
+
+
+_encoders: dict[Settings, Encoder] = {}
+
+
+def encoder(s: Settings) -> Encoder:
+    if s not in _encoders:
+        _encoders[s] = Encoder(s)
+    return _encoders[s]
 
 
 def parts(col: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """(parts, offsets of the texts): texts cut before each space that a character other than white space follows.
+    """(parts, offsets of the texts): texts cut before each space that a character other than white space follows, and
+    on both sides of a single line feed within other characters.
 
-    The byte-level pattern never joins across such a place, so the parts' ids are the texts' ids. The test of the next
-    character is made for ASCII; before any other byte no cut is made unless it starts a Latin or Greek letter, which
+    The byte-level pattern never joins across such a place, so the parts' ids are the texts' ids. The test of the
+    neighbours is made for ASCII; before any other byte no cut is made unless it starts a Latin or Greek letter, which
     is no white space either.
     """
     data, off = buffers(col)
@@ -165,6 +236,8 @@ def parts(col: pa.Array) -> tuple[pa.Array, np.ndarray]:
         cut[:-2] = (data[:-1] == 32) & dark
         # a control character before the space may be white space of the pattern, which could run over the space
         cut[1:-2] &= (data[:-2] > 32) & (data[:-2] < 127) | (data[:-2] >= 0x80) | (data[:-2] == 32) | (data[:-2] == 10)
+        at = np.flatnonzero((data[1:-1] == 10) & dark[1:] & (data[:-2] > 32) & (data[:-2] < 127)) + 1
+        cut[at] = cut[at + 1] = True
     cut[off] = True
     b = np.flatnonzero(cut)
     a = pa.Array.from_buffers(pa.string(), len(b) - 1, [None, pa.py_buffer(b.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]) if len(b) > 1 else pa.array([], pa.string())
@@ -172,33 +245,36 @@ def parts(col: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def encode_batch(col: pa.Array, s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, offsets), end ids included. A worker remembers the ids of parts that it has met."""
-    t, seen = tokenizer(s.tokenizer), _words.setdefault(s.tokenizer, {})
+    """(ids, offsets), end ids included: the library's ids of each text. Texts are encoded by words where that gives
+    the same; one that holds an added token's string, and any text of another kind of tokenizer, goes whole."""
+    t = encoder(s)
+    col = col.fill_null("")
+    whole = np.zeros(len(col), bool) if t.by_words else np.ones(len(col), bool)
+    for x in t.added if t.by_words else []:
+        whole |= np.asarray(pc.match_substring(col, x), dtype=bool)
+    if whole.any():
+        at = np.flatnonzero(whole)
+        n, apart = t.each(col.take(pa.array(at)).to_pylist())
+        col = pc.if_else(pa.array(whole), "", col)
     ps, off = parts(col)
     enc = ps.dictionary_encode()
     code = np.asarray(enc.indices, dtype=np.int64)
-    names = enc.dictionary.to_pylist()
-    if len(seen) > s.kept_words:
-        seen.clear()
-    new = [w for w in names if w not in seen]
-    for i in range(0, len(new), 4096):
-        for w, e in zip(new[i : i + 4096], t.encode_batch_fast(new[i : i + 4096], add_special_tokens=False), strict=True):
-            seen[w] = e.ids
-    lists = [seen[w] for w in names]
-    for w in [w for w in names if len(w) > 1000]:
-        seen.pop(w, None)
-    size = np.fromiter(map(len, lists), np.int64, len(lists))
-    flat = np.fromiter((x for y in lists for x in y), np.uint32, int(size.sum()))
-    first = np.cumsum(size) - size
+    first, size, flat = t.known.ids(enc.dictionary, t.words)
     m = len(off) - 1
     k = size[code]
     total = np.concatenate([[0], np.cumsum(k)])
     body = total[off]  # ids of the parts before each text
-    out = np.full(int(total[-1]) + m, s.end_id, np.uint32)
-    doc = np.repeat(np.arange(m), np.diff(body))
     src = flat[np.repeat(first[code] - total[:-1], k) + np.arange(total[-1])]
-    out[np.arange(total[-1]) + doc] = src
-    return out, body + np.arange(m + 1)
+    count = np.diff(body)
+    if whole.any():
+        count[at] = n
+    to = np.concatenate([[0], np.cumsum(count + 1)])
+    out = np.full(int(to[-1]), s.end_id, np.uint32)
+    doc = np.repeat(to[:-1] - body[:-1], np.diff(body))
+    out[doc + np.arange(len(src))] = src
+    if whole.any():
+        out[np.repeat(to[at] - (np.cumsum(n) - n), n) + np.arange(len(apart))] = apart
+    return out, to
 
 
 def _write(s: Settings, base: str):
