@@ -16,7 +16,6 @@ import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, prepare, slices
+from .common import Known, buffers, prepare, slices
 
 MARK = "▁"
 
@@ -34,7 +33,41 @@ class Settings:
     model: str = ""  # path of the model file; "": piece_bpe_32k.model of the public tokenizers
     slice_bytes: int = 4 << 20
     kept_words: int = 400_000  # words whose ids a worker remembers; beyond it, it starts anew
-    longest_word: int = 2000  # characters; longer marked words are encoded by themselves and not remembered
+
+
+#: Fixed value: the number of the BPE kind in a model file.
+BPE = 2
+
+
+def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """(number, value) of each field of a message in the public protocol-buffer wire format."""
+
+    def varint(i: int) -> tuple[int, int]:
+        v = shift = 0
+        while True:
+            v |= (data[i] & 127) << shift
+            shift, i = shift + 7, i + 1
+            if data[i - 1] < 128:
+                return v, i
+
+    i = 0
+    while i < len(data):
+        key, i = varint(i)
+        kind = key & 7
+        if kind == 0:
+            v, i = varint(i)
+            yield key >> 3, v
+        else:
+            n, i = varint(i) if kind == 2 else (8 if kind == 1 else 4, i)
+            yield key >> 3, data[i : i + n]
+            i += n
+
+
+def model_type(path: str) -> int:
+    """The kind of a model file: field 3 of its trainer's settings (field 2), 1 (unigram) if not stated."""
+    with open(path, "rb") as f:
+        spec = dict(fields(f.read())).get(2, b"")
+    return dict(fields(spec)).get(3, 1)
 
 
 class Model:
@@ -57,12 +90,17 @@ class Model:
         self.unk = sp.unk_id()
         self.piece = [sp.id_to_piece(i) for i in range(n)]
         self.longest = max(map(len, self.ids), default=1)
-        self.chars = {c for p in self.ids for c in p}
         ranked = [self.score[p] for p in self.ids]
-        self.bpe = all(x == int(x) for x in ranked)  # BPE scores are ranks
-        self.stable: dict[tuple[str, str], bool] = {}
+        self.bpe = model_type(path) == BPE
+        self.stable: dict[int, bool] = {}
+        self.most_pairs = 400_000
+        #: by the last two characters: the lengths of the pieces that end so, longest first
+        ends: dict[str, set[int]] = {}
+        for p in self.ids:
+            if len(p) > 1:
+                ends.setdefault(p[-2:], set()).add(len(p))
+        self.lengths = {x: tuple(sorted(v, reverse=True)) for x, v in ends.items()}
         self.lowest = min(ranked, default=0.0) - 10
-        self.parts: dict[str, tuple[str, str] | None] = {}
         out = bytearray()
         at = [0]
         for i, p in enumerate(self.piece):
@@ -84,73 +122,110 @@ class Model:
             s[at : at + 2] = [s[at] + s[at + 1]]
         return s
 
-    def is_stable(self, a: str, b: str) -> bool:
-        """Whether the pieces a, b are the encoding of their join."""
-        k = (a, b)
-        v = self.stable.get(k)
-        if v is None:
-            if len(self.stable) > 2_000_000:
-                self.stable.clear()
-            v = self.stable[k] = self.merge(a + b) == [a, b]
+    def text_of(self, piece: int) -> str:
+        """A piece's characters; numbers beyond the pieces stand for single characters that are none."""
+        return self.piece[piece] if piece < len(self.piece) else chr(piece - len(self.piece))
+
+    def is_stable(self, a: int, b: int) -> bool:
+        """Whether the pieces a, b are the encoding of their join; a = -1: whether merges reach b from its characters."""
+        x, y = self.text_of(a) if a >= 0 else "", self.text_of(b)
+        if len(self.stable) > self.most_pairs:
+            self.stable.clear()
+        v = self.stable[(a + 1) * PAIR + b] = self.merge(x + y) == ([x, y] if x else [y])
         return v
 
     def fallback(self, char: str) -> list[int]:
         return [self.byte[b] for b in char.encode()] if self.bytes_known else [self.unk]
 
-    def encode_sorted(self, words: list[str]) -> list[list[int]]:
-        """Ids of each of the words, which come sorted."""
-        out: list[list[int]] = []
+    def encode_sorted(self, words: list[str]) -> tuple[list[int], list[int]]:
+        """(numbers of ids, ids of all words one after the other) of words, which come sorted.
+
+        A node of the trie keeps its last piece and its length, and for a unigram model its score; a word's ids are
+        read off backwards from its last node, so memory and time are linear in its length.
+        """
         path = ""  # the prefix whose nodes are held
-        size = [0]  # size[i]: length of the last piece of prefix i
-        best = [0.0]  # for unigram: score of prefix i
-        ids: list[list[int]] = [[]]
-        known, longest = self.ids, self.longest
+        size, last, best = [0], [-1], [0.0]  # by length of the prefix
+        known, stable, lengths, n = self.ids, self.stable, self.lengths, len(self.piece)
+        counts: list[int] = []
+        flat: list[int] = []
         for w in words:
-            n = min(len(w), len(path))
-            k = 0
-            while k < n and w[k] == path[k]:
+            k, most = 0, min(len(w), len(path))
+            while k < most and w[k] == path[k]:
                 k += 1
-            del size[k + 1 :], best[k + 1 :], ids[k + 1 :]
-            for i in range(k + 1, len(w) + 1):
-                c = w[i - 1]
-                if c not in self.chars:
-                    take, score = 1, best[i - 1] + self.lowest
-                elif self.bpe:
-                    take, score = 1, 0.0
-                    for m in range(min(longest, i), 0, -1):
-                        p = w[i - m : i]
-                        if (p in known or m == 1) and (m == i or self.is_stable(w[i - m - size[i - m] : i - m], p)) and (m == 1 or self.whole(p)):
-                            take = m
-                            break
-                else:
+            del size[k + 1 :], last[k + 1 :], best[k + 1 :]
+            if self.bpe:
+                for i in range(k + 1, len(w) + 1):
+                    for m in lengths.get(w[i - 2 : i] if i > 1 else "", ()):
+                        p = known.get(w[i - m : i]) if m <= i else None
+                        if p is not None:
+                            key = (last[i - m] + 1) * PAIR + p
+                            ok = stable.get(key)
+                            if ok is None:
+                                ok = self.is_stable(last[i - m], p)
+                            if ok:
+                                size.append(m)
+                                last.append(p)
+                                break
+                    else:
+                        size.append(1)
+                        last.append(known.get(w[i - 1], n + ord(w[i - 1])))
+            else:
+                for i in range(k + 1, len(w) + 1):
                     take, score = 1, best[i - 1] + self.lowest
-                    for m in range(1, min(longest, i) + 1):
+                    for m in range(1, min(self.longest, i) + 1):
                         v = self.score.get(w[i - m : i])
                         if v is not None and best[i - m] + v > score:
                             take, score = m, best[i - m] + v
-                size.append(take)
-                best.append(score)
-                p = w[i - take : i]
-                ids.append(ids[i - take] + ([known[p]] if p in known else self.fallback(p)))
+                    size.append(take)
+                    last.append(known.get(w[i - take : i], n + ord(w[i - 1])))
+                    best.append(score)
             path = w
-            out.append(ids[len(w)])
-        return out
+            out = []
+            i = len(w)
+            while i:
+                if last[i] < n:
+                    out.append(last[i])
+                else:
+                    out += reversed(self.fallback(w[i - 1]))
+                i -= size[i]
+            counts.append(len(out))
+            flat += reversed(out)
+        return counts, flat
+
+
+#: More than there are pieces and characters together; a pair of pieces is one number.
+PAIR = 1 << 22
+
+
+class Encoder:
+    """A model and what a worker remembers of the words that it has met."""
+
+    def __init__(self, s: Settings):
+        self.model, self.known = Model(s.model), Known(s.kept_words)
 
-    @lru_cache(maxsize=100_000)  # noqa: B019
-    def whole(self, piece: str) -> bool:
-        """Whether merges reach the piece from its characters."""
-        return self.merge(piece) == [piece]
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(sizes, ids) of marked words."""
+        order = pc.array_sort_indices(words)
+        names = [w.replace(" ", MARK) for w in words.take(order).to_pylist()]
+        counts, flat = self.model.encode_sorted(names)
+        at = np.asarray(order)
+        k = np.array(counts, np.int64)
+        size = np.zeros(len(k), np.int64)
+        size[at] = k
+        ids = np.array(flat, np.uint32)
+        start = np.cumsum(k) - k  # where the sorted words' ids are
+        first = np.zeros(len(k), np.int64)
+        first[at] = start
+        return size, ids[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(len(ids))]
 
 
-_model: dict[str, Model] = {}
-_words: dict[str, dict[str, list[int]]] = {}
+_encoders: dict[Settings, Encoder] = {}
 
 
-def model_of(path: str) -> Model:
-    if path not in _model:
-        _model[path] = Model(path)
-        _words[path] = {}
-    return _model[path]
+def encoder(s: Settings) -> Encoder:
+    if s not in _encoders:
+        _encoders[s] = Encoder(s)
+    return _encoders[s]
 
 
 def marked_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -177,29 +252,25 @@ def marked_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 def encode_batch(texts: pa.Array, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """(ids, offsets) of all texts; nulls as empty."""
-    m = model_of(s.model)
-    seen = _words[s.model]
+    e = encoder(s)
     ws, off = marked_words(texts)
     enc = ws.dictionary_encode()
     code = np.asarray(enc.indices, dtype=np.int64)
-    names = [w.replace(" ", MARK) for w in enc.dictionary.to_pylist()]
-    if len(seen) > s.kept_words:
-        seen.clear()
-    new = sorted(w for w in names if w not in seen and len(w) <= s.longest_word)
-    seen.update(zip(new, m.encode_sorted(new), strict=True))
-    lists = [seen[w] if w in seen else m.encode_sorted([w])[0] for w in names]
-    size = np.fromiter(map(len, lists), np.int64, len(lists))
-    flat = np.fromiter((x for y in lists for x in y), np.int32, int(size.sum()))
-    first = np.cumsum(size) - size
+    first, size, flat = e.known.ids(enc.dictionary, e.words)
     k = size[code]
     total = np.concatenate([[0], np.cumsum(k)])
-    ids = flat[np.repeat(first[code] - total[:-1], k) + np.arange(total[-1])]
-    return ids, total[off]
+    ids, at = flat[np.repeat(first[code] - total[:-1], k) + np.arange(total[-1])].astype(np.int32), total[off]
+    if not e.model.bytes_known:  # a run of unknown characters is one unknown piece
+        unk = ids == e.model.unk
+        again = np.concatenate([[False], unk[1:] & unk[:-1]]) if len(ids) else unk
+        again[at[:-1][at[:-1] < len(ids)]] = False
+        ids, at = ids[~again], at - np.concatenate([[0], np.cumsum(again)])[at]
+    return ids, at
 
 
 def decode_batch(ids: np.ndarray, off: np.ndarray, s: Settings) -> list[bytes]:
     """The bytes that the ids stand for; the dummy mark at the start goes."""
-    m = model_of(s.model)
+    m = encoder(s).model
     size = m.at[ids + 1] - m.at[ids]
     total = np.concatenate([[0], np.cumsum(size)])
     data = m.out[np.repeat(m.at[ids] - total[:-1], size) + np.arange(total[-1])].tobytes()
@@ -209,7 +280,7 @@ def decode_batch(ids: np.ndarray, off: np.ndarray, s: Settings) -> list[bytes]:
 
 def _run(s: Settings, want: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model_of(s.model)
+        m = encoder(s).model
         lo, hi = m.byte[0], m.byte[255]
         for whole in batches:
             for b in slices(whole, "text", s.slice_bytes):

@@ -1,18 +1,14 @@
 """Each operator against a brute-force version on small inputs with nulls, empties, repeats and clashing columns."""
 
 import hashlib
-import io
 import random
 import re
-import zlib
 from collections import Counter
 
 import numpy as np
-import pyarrow as pa
 import pytest
-import zstandard
 
-from quillwork.llm import decontaminate, induced, langid, licences, minhash, pieces, ppm, quality, repeats, tokenstore, warc
+from quillwork.llm import decontaminate, induced, langid, licences, minhash, ppm, quality, repeats, warc
 from quillwork.llm.common import scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -149,18 +145,6 @@ def test_leaks(spark, docs, none):
     assert decontaminate.leaks(none, items).count() == 0 and decontaminate.leaks(docs, items.limit(0)).count() == 0
 
 
-def test_pieces(docs, none):
-    import public_tokenizers
-    import sentencepiece
-
-    lib = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
-    rows = {r.doc_id: r for r in pieces.encode_decode(docs).collect()}
-    for i, t in enumerate(TEXTS):
-        ids = lib.encode(t or "")
-        assert rows[i].ids == ids and rows[i].decoded == lib.decode(ids) and rows[i].round_trip, i
-    assert pieces.encode_decode(none).count() == 0
-
-
 def test_scores(docs, none):
     rows = {r.doc_id: r for r in ppm.score(docs).collect()}
     held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
@@ -196,42 +180,6 @@ def test_scores(docs, none):
     assert ppm.score(none).count() == 0
 
 
-def test_token_files(spark, docs, none):
-    t = tokenstore.tokenizer("")
-    rows = {r.doc_id: r for r in tokenstore.read(tokenstore.write(docs, scratch(spark))).collect()}
-    start = 0
-    for i, x in enumerate(TEXTS):
-        ids = [*t.encode(x or "", add_special_tokens=False).ids, 0]
-        assert (rows[i].start, rows[i].n_tokens, rows[i].ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
-        start += len(ids)
-    assert tokenstore.read(tokenstore.write(none, scratch(spark))).count() == 0
-
-
-def test_token_frames():
-    f = io.BytesIO()
-    w = tokenstore.Writer(f, tokenstore.Settings(frame_ids=10))
-    lists = [np.arange(n, dtype=np.uint32) for n in (3, 0, 9, 25, 1)]
-    for i, x in enumerate(lists):
-        w.add(i, i, x)
-    w.close()
-    r = tokenstore.Reader(pa.BufferReader(f.getvalue()))
-    for i in (4, 0, 3, 2):
-        assert r.document(i).tolist() == lists[i].tolist()
-    bad = bytearray(f.getvalue())
-    bad[12] ^= 255
-    with pytest.raises((ValueError, zstandard.ZstdError)):
-        tokenstore.Reader(pa.BufferReader(bytes(bad))).document(0)
-
-
-def test_parts():
-    g, t = random.Random(3), tokenstore.tokenizer("")
-    marks = [" ", "  ", "\n", "\t", "\xa0", " ", "\x1c", "\x85", "a", "bc", "é", "日", "1", ".", "!!", "'s", "　", "\x0b", "\x00"]
-    texts = ["".join(g.choice(marks) for _ in range(g.randint(1, 20))) for _ in range(500)]
-    ids, off = tokenstore.encode_batch(pa.array(texts), tokenstore.Settings())
-    for i, x in enumerate(texts):
-        assert ids[off[i] : off[i + 1]].tolist() == [*t.encode(x, add_special_tokens=False).ids, 0]
-
-
 def test_warc(spark):
     pages = spark.createDataFrame([(1, "http://a/é", "x" * 1500), (2, None, "x" * 1500), (3, "u", "short"), (4, "u", "short"), (5, "u", None)], "page_id long, url string, html string")
     rows = {r.page_id: r for r in warc.read(warc.write(pages, scratch(spark))).collect()}
