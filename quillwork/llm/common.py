@@ -22,6 +22,7 @@ ROOT = str(Path(__file__).resolve().parents[2])
 WHITE = " \t\n\x0b\x0c\r"
 NOT_WORD = r"[ \t\n\x0B\f\r]+"
 _own: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def session() -> SparkSession:
@@ -47,7 +48,17 @@ def scratch(spark: SparkSession) -> str:
             _own[app] = tempfile.mkdtemp(prefix="quillwork-")
             atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
         base = f"file://{_own[app]}"
-    return f"{base.rstrip('/')}/quillwork-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/quillwork-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what operators have written for this application. Frames that they returned can't be read any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for x in _made.pop(spark.sparkContext.applicationId, []):
+        path = jvm.org.apache.hadoop.fs.Path(x)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def stash(df: DataFrame, name: str = "t") -> DataFrame:
@@ -61,14 +72,31 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small_enough(df: DataFrame, limit: int) -> bool:
-    """True if df has at most limit rows; reads no more than limit + 1."""
-    return df.limit(limit + 1).count() <= limit
+def small_enough(df: DataFrame, limit: int, size: Column | None = None, most: int = 32 << 20) -> bool:
+    """True if df has at most limit rows, and the sizes of its rows add up to most at most; reads no more than limit + 1."""
+    got = df.limit(limit + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.lit(0) if size is None else size), F.lit(0)).alias("size")).first()
+    return got["n"] <= limit and got["size"] <= most
+
 
+def maybe_broadcast(df: DataFrame, limit: int, size: Column | None = None) -> DataFrame:
+    """Broadcast hint behind a check of the row count, and of the rows' sizes where they vary; a shuffled join beyond it."""
+    return F.broadcast(df) if small_enough(df, limit, size) else df
 
-def maybe_broadcast(df: DataFrame, limit: int) -> DataFrame:
-    """Broadcast hint behind a check of the row count; a shuffled join beyond it."""
-    return F.broadcast(df) if small_enough(df, limit) else df
+
+def share(rows: int, spark: SparkSession) -> int:
+    """Rows of one key above which a join deals them over several tasks; so there are at most 4 * partitions such keys."""
+    return max(2000, rows // (4 * partitions(spark)))
+
+
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], counts: DataFrame, most: int, how: str = "inner") -> DataFrame:
+    """left joined with right on keys; the left rows of a key that has more than `most` are dealt over several tasks,
+    each of which gets the key's right rows. counts: (keys, _n), the number of left rows, or more, of such keys at least.
+    """
+    hot = F.broadcast(counts.filter(F.col("_n") > most).select(*keys, F.ceil(F.col("_n") / most).cast("int").alias("_parts")))
+    part = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(*left.columns), F.col("_parts")).cast("int"))
+    a = left.join(hot, keys, "left").withColumn("_part", part).drop("_parts")
+    b = right.join(hot, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return a.join(b, [*keys, "_part"], how).drop("_part")
 
 
 def let(value: Column, body) -> Column:
@@ -92,16 +120,24 @@ def remainder(doc_id: Column, m: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % m
 
 
+def carried(docs: DataFrame, *names: str) -> DataFrame:
+    """The named columns, and all columns as one, _row: what operators add then clashes with no column of the input."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *names)
+
+
 def with_rid(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Add _rid, a unique long that rises with the key. It is the key itself unless keys repeat or are null.
 
-    Repeated or null keys: every row is a document of its own; rows go by key (nulls first), then text.
+    Repeated or null keys: every row is a document of its own; rows go by key (nulls first), then text. Equal rows are
+    dealt over several tasks. A second call may number such rows otherwise: call it once and hand the frame on.
     """
     dirty = docs.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or k is null")
     if dirty.limit(1).count() == 0:
         return docs.withColumn("_rid", F.col(key).cast("long"))
-    ranged = docs.repartitionByRange(F.col(key).asc_nulls_first(), F.xxhash64(text)).sortWithinPartitions(F.col(key).asc_nulls_first(), text)
-    return stash(ranged.withColumn("_rid", F.monotonically_increasing_id()), "rid")
+    scanned = docs.withColumn("_tie", F.monotonically_increasing_id())
+    order = [F.col(key).asc_nulls_first(), F.col(text).asc_nulls_first(), F.col("_tie")]
+    ranged = scanned.repartitionByRange(F.col(key).asc_nulls_first(), F.substring(text, 1, 64).asc_nulls_first(), F.col("_tie")).sortWithinPartitions(*order)
+    return stash(ranged.withColumn("_rid", F.monotonically_increasing_id()).drop("_tie"), "rid")
 
 
 def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -4,9 +4,10 @@ Every string of `length` bytes has an anchor: the place of the least hash among
 have equal anchors. Neighbouring strings with one anchor make up a context. A pass over the texts yields a row for
 each context; copies of a context are settled by the digest of its bytes (within a batch before the shuffle, then by
 a sort-merge stream), and the first context of each digest, where its anchor has another, different one, goes with
-its bytes to a shard. A shard's contexts are sorted with quillwork.llm.induced, and runs of suffixes with a common
-prefix of `length` are the repeated strings. An anchor with very many different contexts is settled by digests of
-its single strings instead, which spread over all tasks.
+its bytes to a shard. The contexts of an anchor that very many different contexts have are cut up by the second anchor
+of their strings (the least hash among the other grams), and each part goes to a shard by both. A shard's contexts are
+sorted with quillwork.llm.induced, however many they are, and runs of suffixes with a common prefix of `length` are the
+repeated strings.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, mix, partitions, prepare, slices, stash, with_rid
-from .induced import suffix_lcp
+from .common import buffers, carried, maybe_broadcast, mix, partitions, prepare, slices, stash, with_rid
+from .induced import Limits, Store, later_copies
 
 
 @dataclass(frozen=True)
@@ -29,9 +30,10 @@ class Settings:
     length: int = 100  # bytes of a repeated string
     gram: int = 24  # bytes of a gram; length - gram + 1 grams compete for the anchor
     block: int = 1 << 20  # strings that start in so many bytes are handled at a time
-    shard_bytes: int = 2 << 20
-    queue_bytes: int = 64 << 20  # memory of a shard's queues; beyond it they go to disk
-    hot_contexts: int = 20_000  # an anchor with more different contexts is settled string by string
+    shard_bytes: int = 3 << 20  # of contexts, on average; a shard may have any size
+    queue_bytes: int = 2 << 20  # memory of a sort's queues; beyond it they go to disk
+    array_bytes: int = 16 << 20  # larger arrays of a sort are files
+    hot_contexts: int = 20_000  # an anchor with more different contexts has them cut up by second anchors
     broadcast_rows: int = 500_000
 
 
@@ -74,8 +76,11 @@ def range_hash(sums: tuple[np.ndarray, np.ndarray], lo: np.ndarray, hi: np.ndarr
         return mix((c[hi] - c[lo]) * q[lo] + (hi - lo).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), salt)
 
 
-def contexts(data: np.ndarray, off: np.ndarray, s: Settings):
-    """For texts joined in data: (text, start, end, anchor hash, digest) of each context; places within data."""
+def contexts(data: np.ndarray, off: np.ndarray, s: Settings, skip: np.ndarray | None = None):
+    """For texts joined in data: (text, start, end, anchor hash, digest) of each context; places within data.
+
+    skip: a gram hash for each text that is no anchor there.
+    """
     n, k, L = len(data), s.gram, s.length
     empty = np.zeros(0, np.int64)
     if n < L:
@@ -84,6 +89,8 @@ def contexts(data: np.ndarray, off: np.ndarray, s: Settings):
     at = np.arange(n - k + 1)
     with np.errstate(over="ignore"):
         h = mix((sums[0][k:] - sums[0][:-k]) * sums[1][: n - k + 1], 3)
+    if skip is not None:
+        h[h == np.repeat(skip, np.diff(off))[: len(h)]] = np.uint64(0xFFFFFFFFFFFFFFFF)
     bits = np.uint64(26)
     key = ((h >> bits) << bits) | at.astype(np.uint64)
     w = L - k + 1
@@ -136,17 +143,21 @@ def _anchor_rows(s: Settings):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, "text", 4 * s.block):
-                data, off = buffers(b.column("text"))
-                for rid, base, d, o in blocks(np.asarray(b.column("_rid")), data, off, s):
+            got = []
+            for x in slices(batch, "text", 4 * s.block):
+                data, off = buffers(x.column("text"))
+                for rid, base, d, o in blocks(np.asarray(x.column("_rid")), data, off, s):
                     t, lo, hi, h, c = contexts(d, o, s)
-                    if not len(t):
-                        continue
-                    r, a, e = rid[t], lo - o[t] + base[t], hi - o[t] + base[t]
-                    order = np.lexsort((a, r, c, h))
-                    r, a, e, h, c = r[order], a[order], e[order], h[order], c[order]
-                    again = np.concatenate([[False], (h[1:] == h[:-1]) & (c[1:] == c[:-1])])
-                    yield pa.record_batch([pa.array(h.view(np.int64), mask=again), pa.array(np.where(again, mix(r.astype(np.uint64)), c).view(np.int64)), pa.array(r), pa.array(a), pa.array(e)], names=["h", "c", "r", "a", "b"])
+                    got.append((rid[t], lo - o[t] + base[t], hi - o[t] + base[t], h, c))
+            if not sum(len(x[0]) for x in got):
+                continue
+            r, a, e, h, c = (np.concatenate(x) for x in zip(*got, strict=True))
+            order = np.lexsort((a, r, c, h))
+            r, a, e, h, c = r[order], a[order], e[order], h[order], c[order]
+            again = np.concatenate([[False], (h[1:] == h[:-1]) & (c[1:] == c[:-1])])
+            for i in range(0, len(r), 1 << 16):
+                j = slice(i, i + (1 << 16))
+                yield pa.record_batch([pa.array(h[j].view(np.int64), mask=again[j]), pa.array(np.where(again[j], mix(r[j].astype(np.uint64)), c[j]).view(np.int64)), pa.array(r[j]), pa.array(a[j]), pa.array(e[j])], names=["h", "c", "r", "a", "b"])
 
     return run
 
@@ -209,68 +220,114 @@ def merge(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[new], b[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(a) - 1]])]
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of each context: rows (_rid, text, spans) to rows (shard key, r, a, bytes)."""
-    for batch in batches:
-        data, off = buffers(batch.column("text"))
-        col = batch.column("spans")
-        x = col.flatten()
-        so = np.asarray(col.offsets) - int(np.asarray(col.offsets)[0])
-        key, a, b = (np.asarray(x.field(i)) for i in range(3))
-        who = np.repeat(np.arange(batch.num_rows), np.diff(so))
-        if not len(who):
-            continue
-        lo, n = off[who] + a, b - a
-        for i in range(0, len(who), 20_000):
-            j = slice(i, min(i + 20_000, len(who)))
-            o = np.concatenate([[0], np.cumsum(n[j])])
-            at = np.repeat(lo[j] - o[:-1], n[j]) + np.arange(o[-1])
-            d = data[at]
-            yield pa.record_batch([pa.array(key[j]), pa.array(np.asarray(batch.column("_rid"))[who[j]]), pa.array(a[j]), pa.Array.from_buffers(pa.binary(), len(o) - 1, [None, pa.py_buffer(o.astype(np.int32)), pa.py_buffer(d)])], names=["k", "r", "a", "bytes"])
-
-
-def _shard(s: Settings):
-    def run(table: pa.Table) -> pa.Table:
-        data, off = buffers(table.column("bytes"))
-        r, a = np.asarray(table.column("r")), np.asarray(table.column("a"))
-        seg, place, lcp = suffix_lcp(data, off, s.length, s.queue_bytes)
-        long = np.diff(off)[seg] - place >= s.length
-        group = np.cumsum(lcp < s.length)
-        seg, place, group = seg[long], place[long], group[long]
-        d, p = r[seg], a[seg] + place
-        order = np.lexsort((p, d, group))
-        g, d, p = group[order], d[order], p[order]
-        head = np.concatenate([[True], g[1:] != g[:-1]]) if len(g) else np.zeros(0, bool)
-        run_of = np.cumsum(head) - 1
-        later = (d != d[head][run_of]) | (p != p[head][run_of]) if len(g) else head
-        d, p = d[later], p[later]
-        order = np.lexsort((p, d))
-        d, p = d[order], p[order]
-        if len(d):
-            new = np.concatenate([[True], (d[1:] != d[:-1]) | (p[1:] > p[:-1] + s.length)])
-            at = np.flatnonzero(new)
-            end = np.concatenate([at[1:] - 1, [len(d) - 1]])
-            return pa.table({"r": d[at], "a": p[at], "b": p[end] + s.length})
-        return pa.table({"r": d, "a": p, "b": p})
+def _cut(s: Settings, shards: int, more: int):
+    """The bytes of each context: rows (_rid, text, spans) to rows (shard, r, a, bytes). Contexts of hot anchors, whose
+    shard is -1, are cut up by second anchors and dealt to `more` further shards."""
+
+    def rows(d: np.ndarray, o: np.ndarray, key: np.ndarray, r: np.ndarray, a: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(key), pa.array(r), pa.array(a), pa.Array.from_buffers(pa.binary(), len(o) - 1, [None, pa.py_buffer(o.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(d))])], names=["k", "r", "a", "bytes"])
+
+    def pick(data: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        o = np.concatenate([[0], np.cumsum(n)])
+        return data[np.repeat(lo - o[:-1], n) + np.arange(o[-1])], o
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = buffers(batch.column("text"))
+            col = batch.column("spans")
+            x = col.flatten()
+            so = np.asarray(col.offsets) - int(np.asarray(col.offsets)[0])
+            key, a, b, h = (np.asarray(x.field(i)) for i in range(4))
+            who = np.repeat(np.arange(batch.num_rows), np.diff(so))
+            rid = np.asarray(batch.column("_rid"))
+            lo, n = off[who] + a, b - a
+            for hot in (False, True):
+                at = np.flatnonzero((key < 0) == hot)
+                for i in range(0, len(at), 8_000):
+                    j = at[i : i + 8_000]
+                    d, o = pick(data, lo[j], n[j])
+                    if not hot:
+                        yield rows(d, o, key[j], rid[who[j]], a[j])
+                        continue
+                    t, p, q, second, _ = contexts(d, o, s, h[j].view(np.uint64))
+                    k = shards + (mix(second ^ mix(h[j].view(np.uint64)[t], 13), 17) % np.uint64(more)).astype(np.int64)
+                    yield rows(*pick(d, p, q - p), k, rid[who[j]][t], a[j][t] + p - o[t])
 
     return run
 
 
-def _strings(s: Settings):
-    """Single strings of contexts by digest, for hot anchors."""
+class Shard:
+    """The contexts of a shard as they come; bytes beyond a bound go to a file."""
+
+    def __init__(self, s: Settings):
+        self.s, self.store = s, Store(s.array_bytes)
+        self.parts: list[np.ndarray] = []
+        self.rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # row id, place in the text, size
+        self.held, self.file, self.size = 0, None, 0
+
+    def add(self, r: np.ndarray, a: np.ndarray, data: np.ndarray, off: np.ndarray) -> None:
+        self.rows.append((r, a, np.diff(off)))
+        self.parts.append(data.copy())
+        self.held += len(data)
+        self.size += len(data)
+        if self.held > self.s.array_bytes:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.file is None:
+            self.file = open(self.store.path(), "w+b")  # noqa: SIM115
+        for x in self.parts:
+            x.tofile(self.file)
+        self.parts, self.held = [], 0
+
+    def spans(self) -> Iterator[pa.RecordBatch]:
+        """(r, a, b): the strings that start earlier in the shard too; those that touch are one span."""
+        try:
+            if self.file is not None:
+                self.flush()
+                self.file.flush()
+                data = np.memmap(self.file, np.uint8, "r", shape=(self.size,))
+            else:
+                data = np.concatenate(self.parts) if self.parts else np.zeros(0, np.uint8)
+            r, a, n = (np.concatenate(x) for x in zip(*self.rows, strict=True))
+            off = np.concatenate([[0], np.cumsum(n)])
+            marks = self.store.zeros(len(data), bool)
+            later_copies(data, off, Limits(cap=self.s.length, queue_bytes=self.s.queue_bytes, array_bytes=self.s.array_bytes), marks)
+            i = 0
+            while i < len(n):  # some contexts at a time
+                j = max(i + 1, int(np.searchsorted(off, off[i] + (1 << 22), "right")) - 1)
+                p = np.flatnonzero(marks[off[i] : off[j]]) + off[i]
+                if len(p):
+                    seg = np.searchsorted(off, p, "right") - 1
+                    new = np.concatenate([[True], (seg[1:] != seg[:-1]) | (p[1:] > p[:-1] + self.s.length)])
+                    at = np.flatnonzero(new)
+                    end = np.append(at[1:], len(p)) - 1
+                    place = a[seg] + p - off[seg]
+                    yield pa.record_batch([pa.array(r[seg[at]]), pa.array(place[at]), pa.array(place[end] + self.s.length)], names=["r", "a", "b"])
+                i = j
+        finally:
+            if self.file is not None:
+                self.file.close()
+            self.store.close()
+
+
+def _sort(s: Settings):
+    """Spans to remove, from contexts sorted by (shard, r, a)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, key = None, None
         for batch in batches:
+            k, r, a = (np.asarray(batch.column(x)) for x in ("k", "r", "a"))
             data, off = buffers(batch.column("bytes"))
-            r, a = np.asarray(batch.column("r")), np.asarray(batch.column("a"))
-            sums = prefix_sums(data)
-            n = np.maximum(np.diff(off) - s.length + 1, 0)
-            who = np.repeat(np.arange(len(n)), n)
-            inner = np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
-            lo = off[who] + inner
-            for i in range(0, len(who), 100_000):
-                j = slice(i, min(i + 100_000, len(who)))
-                yield pa.record_batch([pa.array(range_hash(sums, lo[j], lo[j] + s.length, salt).view(np.int64)) for salt in (21, 22)] + [pa.array(r[who[j]]), pa.array(a[who[j]] + inner[j])], names=["x", "y", "r", "a"])
+            cut = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else []
+            for i, j in zip(cut, np.append(cut[1:], len(k)), strict=True):
+                if shard is None or k[i] != key:
+                    if shard is not None:
+                        yield from shard.spans()
+                    shard, key = Shard(s), k[i]
+                shard.add(r[i:j], a[i:j], data[off[i] : off[j]], off[i : j + 1])
+        if shard is not None:
+            yield from shard.spans()
 
     return run
 
@@ -326,27 +383,17 @@ def repeated_spans(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     total = todo.agg(F.coalesce(F.sum(F.col("b") - F.col("a")), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("k")).first()
     if not total["k"]:
         return spans
-    hot = todo.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > s.hot_contexts).select("h", F.lit(True).alias("hot"))
-    any_hot = hot.limit(1).count() > 0
-    shards = int(total["n"] // s.shard_bytes + 1)
+    hot = stash(todo.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("b") - F.col("a")).alias("n")).filter(F.col("k") > s.hot_contexts), "hot")
+    hot_bytes = hot.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    shards, more = int(total["n"] // s.shard_bytes + 1), int(2 * hot_bytes // s.shard_bytes + 1)  # parts overlap
     key = F.pmod(F.xxhash64("h"), F.lit(shards)).cast("long")
-    todo = todo.join(hot, "h", "left").withColumn("k", F.when(F.col("hot"), F.lit(-1)).otherwise(key)) if any_hot else todo.withColumn("k", key)
-    # of a text's contexts in one shard, those that touch are one piece
-    need = todo.groupBy(F.col("r").alias("_rid")).agg(F.sort_array(F.collect_list(F.struct(F.col("k").cast("long").alias("k"), "a", "b"))).alias("spans"))
-    if total["k"] <= s.broadcast_rows:
-        need = stash(need, "need")
-        texts = rest.join(F.broadcast(need), "_rid")
-    else:
-        texts = rest.join(need, "_rid")
-    pieces = texts.select("_rid", "text", "spans").mapInArrow(_cut, "k long, r long, a long, bytes binary")
-    pieces = stash(pieces, "pieces") if any_hot else pieces
-    found = pieces.filter("k >= 0").repartition(min(shards, max(n, 1) * 8), "k").groupBy("k").applyInArrow(_shard(s), "r long, a long, b long")
-    if any_hot:
-        single = pieces.filter("k < 0").select("r", "a", "bytes").mapInArrow(_strings(s), "x long, y long, r long, a long")
-        head = single.groupBy("x", "y").agg(F.min(F.struct("r", "a")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("x", "y", "f")
-        more = single.join(head, ["x", "y"]).filter((F.col("r") != F.col("f.r")) | (F.col("a") != F.col("f.a"))).select("r", "a", (F.col("a") + s.length).alias("b"))
-        found = found.union(more)
-    return spans.union(stash(found, "found"))
+    if hot_bytes:
+        todo = todo.join(maybe_broadcast(hot.select("h", F.lit(True).alias("hot")), s.broadcast_rows), "h", "left")
+        key = F.when(F.col("hot"), F.lit(-1).cast("long")).otherwise(key)
+    need = todo.groupBy(F.col("r").alias("_rid")).agg(F.collect_list(F.struct(key.alias("k"), "a", "b", "h")).alias("spans"))
+    pieces = rest.join(need, "_rid").select("_rid", "text", "spans").mapInArrow(_cut(s, shards, more), "k long, r long, a long, bytes binary")
+    dealt = pieces.repartition(max(min(shards + more * (hot_bytes > 0), n * 8), 1), "k").sortWithinPartitions("k", "r", "a")
+    return spans.union(stash(dealt.mapInArrow(_sort(s), "r long, a long, b long"), "found"))
 
 
 def remove_repeats(docs: DataFrame, s: Settings = Settings(), want_text: bool = False, numbered: bool = False) -> DataFrame:
@@ -377,10 +424,15 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: texts without their repeated strings; characters cut at an edge go whole. n_chars follows."""
+    """Pipeline stage: texts without their repeated strings; characters cut at an edge go whole. n_chars follows.
+
+    Every input row and column stays; only text and, if there is one, n_chars change. Columns of any name may come
+    along. Null and empty texts stay as they are. Repeated or null doc_ids: each row is a document of its own, numbered
+    once. An empty table gives an empty result.
+    """
     prepare(spark)
-    named = with_rid(docs)
+    named = with_rid(carried(docs, "doc_id", "text"))
     left = remove_repeats(named, want_text=True, numbered=True).filter("n_removed > 0").select("_rid", F.col("kept_text").alias("_kept"))
-    both = named.join(left, "_rid", "left")
-    text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(F.col("_kept"))
-    return both.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    both = named.join(left, "_rid", "left").withColumn("text", F.coalesce("_kept", "text"))
+    new = {"text": F.col("text"), "n_chars": F.when(F.col("_kept").isNull(), F.col("_row").getField("n_chars")).otherwise(F.length("text").cast("long")) if "n_chars" in docs.columns else None}
+    return both.select(*[(new[c] if c in new else F.col("_row").getField(c)).alias(c) for c in docs.columns])

@@ -3,12 +3,13 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from quillwork.llm import decontaminate, induced, langid, licences, minhash, ppm, quality, repeats, warc
+from quillwork.llm import decontaminate, langid, licences, minhash, ppm, quality, repeats, warc
 from quillwork.llm.common import scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -69,26 +70,9 @@ def test_quality_phrase_within_words(spark):
     assert got == {i: len(WORD.findall(x)) for i, x in enumerate(lines)}
 
 
-def test_sorting():
-    for it in range(60):
-        g = random.Random(it)
-        segs = [bytes(g.randrange(g.choice([1, 2, 26])) + 97 for _ in range(g.randint(0, 25))) for _ in range(g.randint(1, 5))]
-        data, off = np.frombuffer(b"".join(segs), np.uint8), np.concatenate([[0], np.cumsum([len(s) for s in segs])])
-        order = sorted(((tuple(b + 1 for b in s[i:]) + (0,), j, i) for j, s in enumerate(segs) for i in range(len(s))), key=lambda x: (x[0], x[1]))
-        want, last = [], ()
-        for s, j, i in order:
-            n = 0
-            while n < min(9, len(s) - 1, len(last) - 1) and s[n] == last[n]:
-                n += 1
-            want.append((j, i, n))
-            last = s
-        got = [tuple(int(v) for v in x) for x in zip(*induced.suffix_lcp(data, off, 9, g.choice([0, 100, 1 << 20])), strict=True)]
-        assert got == want
-
-
 @pytest.mark.parametrize("hot", [20_000, 0])
 def test_repeats(docs, none, hot):
-    s = repeats.Settings(hot_contexts=hot, block=500)
+    s = repeats.Settings(hot_contexts=hot, block=500, queue_bytes=300, array_bytes=2000)
     rows = {r.doc_id: r for r in repeats.remove_repeats(docs, s).collect()}
     seen = set()
     for i, t in enumerate(TEXTS):
