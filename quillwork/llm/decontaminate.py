@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, let, maybe_broadcast, stash, with_rid, words
+from .common import ascii_lower, carried, let, maybe_broadcast, stash, with_rid, words
 
 
 @dataclass(frozen=True)
@@ -76,7 +76,7 @@ def leaks(docs: DataFrame, items: DataFrame, s: Settings = Settings(), numbered:
     ids = pairs.select("_rid").distinct()
     wanted = docs.join(maybe_broadcast(ids, s.broadcast_rows), "_rid", "left_semi").select("_rid", "doc_id", shingle_texts(F.col("text"), s.shingle).alias("d"))
     sets = items.select(F.col("item_id").alias("item"), shingle_texts(F.col("text"), s.shingle).alias("q"))
-    full = pairs.join(maybe_broadcast(sets, s.broadcast_rows // 50), "item").join(wanted, "_rid")
+    full = pairs.join(maybe_broadcast(sets, s.broadcast_rows // 50, F.aggregate("q", F.lit(0), lambda t, x: t + F.octet_length(x))), "item").join(wanted, "_rid")
     shared = F.size(F.array_intersect("q", "d"))
     full = full.select("_rid", "doc_id", F.col("item.item_id").alias("item_id"), F.size("q").alias("n_item"), shared.alias("n_shared"))
     full = full.filter(100 * F.col("n_shared") >= s.percent * F.col("n_item"))
@@ -100,7 +100,11 @@ from ds join bs using (s) join n using (item_id) group by doc_id, item_id, n_ite
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold a benchmark item go."""
-    named = with_rid(docs)
+    """Pipeline stage: documents that hold a benchmark item go; the others stay with all their columns, of any name.
+
+    Null and wordless texts hold nothing and stay. Repeated or null doc_ids: each row is a document of its own, numbered
+    once. Empty tables: an empty result without documents, all documents without items.
+    """
+    named = with_rid(carried(docs, "doc_id", "text"))
     found = leaks(named, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), numbered=True).select("_rid").distinct()
-    return named.join(found, "_rid", "left_anti").select(*docs.columns)
+    return named.join(found, "_rid", "left_anti").select("_row.*")

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix, prepare, slices, stash, string_hashes, with_rid
+from .common import carried, mix, prepare, share, slices, spread_join, stash, string_hashes, with_rid
 
 
 @dataclass(frozen=True)
@@ -179,13 +179,14 @@ def components(links: DataFrame, one_task: int) -> DataFrame:
         return stash(e.coalesce(1).mapInArrow(_forest, "r long, c long"), "components")
     own = e.select("r").distinct().withColumn("c", F.col("r"))  # the least nodes have no link of their own
     e = stash(e.filter("r != c").select(F.col("r").alias("u"), F.col("c").alias("v")).distinct(), "links")
+    most = share(2 * e.count(), links.sparkSession)
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        big = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n")).withColumn("m", F.least("u", "m"))
+        big = spread_join(both, least.drop("_n"), ["u"], least, most).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
         big = stash(big, "large")
-        low = big.groupBy("u").agg(F.min("v").alias("m"))
-        small = big.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").union(low.select("u", F.col("m").alias("v"))).distinct()
+        low = big.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
+        small = spread_join(big, low.drop("_n"), ["u"], low, most).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").union(low.select("u", F.col("m").alias("v"))).distinct()
         new = stash(small, "small")
         if new.exceptAll(e).limit(1).count() == 0 and e.exceptAll(new).limit(1).count() == 0:
             return stash(own.join(new.select(F.col("u").alias("r"), F.col("v").alias("v")), "r", "left").select("r", F.coalesce("v", "c").alias("c")), "components")
@@ -195,9 +196,13 @@ def components(links: DataFrame, one_task: int) -> DataFrame:
 def _confirmed(pair: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """Of pairs (r, q) with set sizes (n, m), those that are links, by their whole sets: (a, b)."""
     pair = pair.filter(100 * F.least("n", "m") >= s.percent * F.greatest("n", "m")).select(F.least("r", "q").alias("a"), F.greatest("r", "q").alias("b")).distinct()
+    pair = stash(pair, "pairs")
+    most = share(pair.count(), pair.sparkSession)  # a leader may be in very many pairs
+    hot = {end: stash(pair.groupBy(end).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most), "hot") for end in ("a", "b")}
+    for end in ("a", "b"):
+        pair = spread_join(pair, sets.select(F.col("r").alias(end), F.col("s").alias(f"s{end}")), [end], hot[end], most)
     both = F.size(F.array_intersect("sa", "sb"))
-    full = pair.join(sets.select(F.col("r").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("r").alias("b"), F.col("s").alias("sb")), "b")
-    return stash(full.filter(100 * both >= s.percent * (F.size("sa") + F.size("sb") - both)).select("a", "b"), "found")
+    return stash(pair.filter(100 * both >= s.percent * (F.size("sa") + F.size("sb") - both)).select("a", "b"), "found")
 
 
 def _settle(member: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
@@ -211,10 +216,13 @@ def _settle(member: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     freq = each.groupBy("w").agg(F.count(F.lit(1)).alias("f"))
     first = F.row_number().over(Window.partitionBy("r").orderBy("f", "w"))
     size = F.col("n") - F.ceil(F.col("n") * s.percent / 100) + 1
-    head = each.join(freq, "w").withColumn("k", first).filter((F.col("k") <= size) & (F.col("f") > 1)).select("w", "r", "n", "c", "k")
+    most = share(each.count(), each.sparkSession)
+    freq = stash(freq, "frequencies")
+    counts = freq.select("w", F.col("f").alias("_n"))
+    head = spread_join(each, freq, ["w"], counts, most).withColumn("k", first).filter((F.col("k") <= size) & (F.col("f") > 1)).select("w", "r", "n", "c", "k")
     head = stash(head, "prefixes")
     mixed = head.groupBy("w").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("w")
-    head = stash(head.join(mixed, "w", "left_semi"), "shared")
+    head = stash(spread_join(head, mixed, ["w"], counts, most, "left_semi"), "shared")
     # sizes go in classes a factor of 1.05 apart: the larger of a pair meets each class below it by itself, with the
     # shorter prefix that sizes so near allow; the smaller one needs the prefix for partners of its own size
     step, t = 1.05, s.percent / (100 + s.percent)
@@ -252,10 +260,11 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), numbered: bool =
     schema = "_rid long, doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
     sig = stash(docs.select("_rid", F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_signatures(s), schema), "signatures")
     real = sig.filter("n_shingles > 0")
-    classes = stash(real.groupBy("d1", "d2").agg(F.min(F.struct("_rid", "doc_id")).alias("f"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n")), "classes")
+    classes = stash(real.groupBy("d1", "d2").agg(F.min(F.struct("_rid", "doc_id")).alias("f"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("_n")), "classes")
     rows = classes.select(F.col("f._rid").alias("r"), F.col("n"), F.posexplode("bands").alias("band", "h"))
-    sizes = rows.groupBy("band", "h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-    member = stash(rows.join(sizes, ["band", "h"]).select("band", "h", "k", "r", "n"), "members")
+    sizes = stash(rows.groupBy("band", "h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "sizes")
+    most = share(s.bands * classes.count(), spark)
+    member = stash(spread_join(rows, sizes, ["band", "h"], sizes.withColumnRenamed("k", "_n"), most).select("band", "h", "k", "r", "n"), "members")
     rank = member.groupBy("r").agg(F.sum("k").alias("weight"))
     member = stash(member.join(rank, "r"), "ranked")
     ids = member.select("r").distinct()
@@ -264,17 +273,19 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), numbered: bool =
     sets = stash(sets.select("_rid", "text").mapInArrow(_sets(s), "r long, s array<long>"), "sets")
     comp, before = None, None
     member = member.withColumn("c", F.col("r"))
+    hot = sizes.withColumnRenamed("k", "_n")
     leaders = 1
     while True:
         # leaders of each bucket: the members not yet used with the largest buckets; the others are compared with them
         by = Window.partitionBy("band", "h").orderBy(F.col("weight").desc(), "r")
         lead = member.withColumn("at", F.row_number().over(by)).filter(F.col("at") <= leaders).select("band", "h", F.col("r").alias("q"), F.col("n").alias("m"), F.col("c").alias("d"))
-        comp = _joined(comp, _confirmed(member.join(lead, ["band", "h"]).filter("c != d").select("r", "n", "q", "m"), sets, s), s)
+        comp = _joined(comp, _confirmed(spread_join(member, lead, ["band", "h"], hot, most).filter("c != d").select("r", "n", "q", "m"), sets, s), s)
         # buckets that still hold two components, without the leaders just used
         left = member.drop("c").join(comp, "r", "left").withColumn("c", F.coalesce("c", "r"))
         left = left.join(lead.select("band", "h", F.col("q").alias("r")), ["band", "h", "r"], "left_anti")
         held = left.groupBy("band", "h", "c").agg(F.count(F.lit(1)).alias("j")).groupBy("band", "h").agg(F.sum("j").alias("j"), F.sum(F.col("j") * F.col("j")).alias("j2"), F.count(F.lit(1)).alias("cs")).filter("cs > 1")
-        member = stash(left.join(held.select("band", "h", ((F.col("j") * F.col("j") - F.col("j2")) / 2).alias("open")), ["band", "h"]).select("r", "band", "h", "n", "weight", "c", "open"), "open")
+        held = held.select("band", "h", ((F.col("j") * F.col("j") - F.col("j2")) / 2).alias("open"))
+        member = stash(spread_join(left, held, ["band", "h"], hot, most).select("r", "band", "h", "n", "weight", "c", "open"), "open")
         count = member.dropDuplicates(["band", "h"]).agg(F.coalesce(F.sum("open"), F.lit(0))).first()[0]
         if count == 0:
             break
@@ -286,8 +297,10 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), numbered: bool =
         leaders *= 4  # so that rounds stay few; no pair is compared more often for it
     label = classes.select(F.col("f._rid").alias("r"), F.col("f.doc_id").alias("own"), "d1", "d2").join(comp, "r", "left").withColumn("c", F.coalesce("c", "r"))
     names = classes.select(F.col("f._rid").alias("c"), F.col("f.doc_id").alias("component_id"))
-    label = label.join(names, "c").select("d1", "d2", F.col("c"), "component_id")
-    out = sig.drop("bands").join(label, ["d1", "d2"], "left").withColumn("lone", F.col("n_shingles") == 0)
+    label = stash(label, "labels")
+    most = share(label.count(), spark)
+    label = spread_join(label, names, ["c"], label.groupBy("c").agg(F.count(F.lit(1)).alias("_n")), most).select("d1", "d2", F.col("c"), "component_id")
+    out = spread_join(sig.drop("bands"), label, ["d1", "d2"], classes.select("d1", "d2", "_n"), share(sig.count(), spark), "left").withColumn("lone", F.col("n_shingles") == 0)
     c = F.when(F.col("lone"), F.col("_rid")).otherwise(F.col("c"))
     return out.select("_rid", "doc_id", "n_shingles", F.when(F.col("lone"), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), (F.col("_rid") == c).alias("kept"))
 
@@ -297,8 +310,11 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group of near duplicates stays, the one with the least doc_id."""
+    """Pipeline stage: one document of each group of near duplicates stays, the one with the least doc_id, with all its
+    columns, of any name. Null and wordless texts are in no group and stay. Repeated or null doc_ids: each row is a
+    document of its own, numbered once. An empty table gives an empty result.
+    """
     prepare(spark)
-    named = with_rid(docs)
+    named = with_rid(carried(docs, "doc_id", "text"))
     gone = near_duplicates(named, numbered=True).filter("not kept").select("_rid")
-    return named.join(gone, "_rid", "left_anti").select(*docs.columns)
+    return named.join(gone, "_rid", "left_anti").select("_row.*")

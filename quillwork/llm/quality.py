@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, let, stash, words
+from .common import WHITE, carried, let, stash, words
 
 #: Phrases of boilerplate lines, lower case, at least two words each.
 BOILERPLATE = ("lorem ipsum", "enable javascript", "cookie policy", "uses cookies", "privacy policy", "terms of use", "terms of service", "rights reserved", "sign in to", "log in to", "subscribe to our", "click here", "share this", "powered by")
@@ -83,16 +83,14 @@ def add_repeat_words(df: DataFrame, ws: str, out: str) -> DataFrame:
     return df.withColumn(out, count.cast("long")).drop("_rk", "_rd", "_rf", "_ri")
 
 
-def measures(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Add the document measures, the cleaned text and the verdicts; every input row and column stays.
+ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_words", "clean_text", "base_failed", "kept")
 
-    Added: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lost_words (long), clean_text, base_failed,
-    kept. A null or empty text has no words: all counts are 0, base_failed is true and kept false. Input columns
-    with the name of an added one are replaced. Repeated rows are judged one by one.
-    """
+
+def judged(docs: DataFrame, rules: Rules) -> DataFrame:
+    """(_row, text, what measures adds): _row holds the input's columns."""
     t = F.coalesce(F.col("text"), F.lit(""))
     has_word = lambda x: F.btrim(x, F.lit(WHITE)) != ""
-    d = docs.withColumn("_w", words(t)).withColumn("_l", F.split(t, "\n"))
+    d = carried(docs, "text").withColumn("_w", words(t)).withColumn("_l", F.split(t, "\n"))
     d = d.withColumn("_real", F.filter("_l", has_word))
     # let: the optimiser would otherwise move the first argument into the lambda, and so to every line
     lines = lambda keep: let(has_phrase(t), lambda p: F.filter("_l", lambda x: keep(line_fails(x, rules, p))))
@@ -107,8 +105,19 @@ def measures(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     })
     d = add_repeat_words(d, "_w", "n_repeat_words")
     d = d.withColumn("base_failed", (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
-    d = d.withColumn("kept", ~F.col("base_failed") & (100 * F.col("lost_words") <= rules.max_lost_percent * F.col("n_words")))
-    return d.drop("_w", "_l", "_real", "_bad")
+    return d.withColumn("kept", ~F.col("base_failed") & (100 * F.col("lost_words") <= rules.max_lost_percent * F.col("n_words")))
+
+
+def measures(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """Add the document measures, the cleaned text and the verdicts; every input row and column stays.
+
+    Added: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lost_words (long), clean_text, base_failed,
+    kept. A null or empty text has no words: all counts are 0, base_failed is true and kept false. Input columns
+    with the name of an added one are replaced; any others stay. Repeated rows are judged one by one. An empty table
+    gives an empty result.
+    """
+    own = [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in ADDED]
+    return judged(docs, rules).select(*own, *ADDED)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -117,10 +126,10 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that the rules keep, with their text as it was.
+    """Pipeline stage: the documents that the rules keep, with their text and all columns, of any name, as they were.
 
-    The verdicts are written before the filter: pushed below the measures, it would have each of them computed anew
-    for every element of the arrays.
+    Null and empty texts go. Repeated rows are judged one by one. An empty table gives an empty result. The verdicts are
+    written before the filter: pushed below the measures, it would have each of them computed anew for every element of
+    the arrays.
     """
-    judged = stash(measures(docs).select(*[F.col(c) for c in docs.columns], F.col("kept").alias("_kept")), "judged")
-    return judged.filter("_kept").drop("_kept")
+    return stash(judged(docs, Rules()).select("_row", "kept"), "judged").filter("kept").select("_row.*")
