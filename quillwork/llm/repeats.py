@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -332,6 +333,12 @@ def _sort(s: Settings):
     return run
 
 
+def without(data: np.ndarray, a: np.ndarray, b: np.ndarray) -> bytes:
+    """The bytes outside the runs [a, b), which are in order and apart."""
+    cut = np.concatenate([[0], np.stack([a, b], 1).reshape(-1), [len(data)]])
+    return b"".join(data[x:y].tobytes() for x, y in zip(cut[::2], cut[1::2], strict=True))
+
+
 def _finish(want_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -344,11 +351,7 @@ def _finish(want_text: bool):
             for i in range(batch.num_rows):
                 d = data[off[i] : off[i + 1]]
                 p, q = merge(a[so[i] : so[i + 1]], b[so[i] : so[i + 1]])
-                left = np.ones(len(d) + 1, np.int8)
-                left[:] = 0
-                np.add.at(left, p, 1)
-                np.add.at(left, q, -1)
-                kept = d[np.cumsum(left[:-1]) == 0].tobytes() if len(p) else d.tobytes()
+                kept = without(d, p, q)
                 out["n_bytes"].append(len(d))
                 out["n_removed"].append(len(d) - len(kept))
                 out["n_spans"].append(len(p))
@@ -423,6 +426,30 @@ def query(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("_rid")
 
 
+def _rewrite(names: list[str]):
+    """Rows (_row, spans) to the rows themselves, with the spans' bytes taken out of text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = dict(zip(names, batch.column("_row").flatten(), strict=True))
+            col = batch.column("spans")
+            at = np.flatnonzero(np.asarray(col.is_valid()))
+            if len(at):
+                text = cols["text"]
+                data, off = buffers(text)
+                x, o = col.flatten(), np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(col).fill_null(0)))])
+                a, b = np.asarray(x.field(0)), np.asarray(x.field(1))
+                new = [without(data[off[i] : off[i + 1]], *merge(a[o[i] : o[i + 1]], b[o[i] : o[i + 1]])).decode("utf-8", "ignore") for i in at]
+                changed = pa.array(np.asarray(col.is_valid()))
+                cols["text"] = pc.replace_with_mask(text, changed, pa.array(new, text.type))
+                if "n_chars" in cols:
+                    size = pc.utf8_length(pa.array(new, pa.string())).cast(cols["n_chars"].type)
+                    cols["n_chars"] = pc.replace_with_mask(cols["n_chars"], changed, size)
+            yield pa.record_batch(list(cols.values()), names=names)
+
+    return run
+
+
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: texts without their repeated strings; characters cut at an edge go whole. n_chars follows.
 
@@ -432,7 +459,6 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     prepare(spark)
     named = with_rid(carried(docs, "doc_id", "text"))
-    left = remove_repeats(named, want_text=True, numbered=True).filter("n_removed > 0").select("_rid", F.col("kept_text").alias("_kept"))
-    both = named.join(left, "_rid", "left").withColumn("text", F.coalesce("_kept", "text"))
-    new = {"text": F.col("text"), "n_chars": F.when(F.col("_kept").isNull(), F.col("_row").getField("n_chars")).otherwise(F.length("text").cast("long")) if "n_chars" in docs.columns else None}
-    return both.select(*[(new[c] if c in new else F.col("_row").getField(c)).alias(c) for c in docs.columns])
+    spans = repeated_spans(named, Settings()).groupBy(F.col("r").alias("_rid")).agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    both = named.select("_rid", "_row").join(spans, "_rid", "left").select("_row", "spans")
+    return both.mapInArrow(_rewrite(docs.columns), docs.schema)

@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from quillwork.llm import decontaminate, langid, licences, minhash, ppm, quality, repeats, warc
+from quillwork.llm import decontaminate, langid, minhash, ppm, quality, repeats, warc
 from quillwork.llm.common import scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -183,14 +183,6 @@ def test_language(spark, none):
     assert langid.identify(none).count() == 0
 
 
-def test_licences(spark):
-    files = spark.createDataFrame([(1, "a/b/LICENSE", "Released under the MIT License."), (2, "a/b/c/x.py", "code"), (3, "a/y.py", "code"), (4, "a/b/z.py", prose(60) + "\nLicensed under CC BY-NC 4.0."), (5, None, None)], "_rid long, path string, text string")
-    got = {r["_rid"]: r for r in licences.scan(files, licences.template_rows(spark)).collect()}
-    assert (got[2].licence, got[2].inherited_from) == ("MIT", "a/b") and got[3].licence is None
-    assert (got[4].licence, got[4].own_licence, got[4].inherited_from) == ("CC-BY-NC-4.0", "CC-BY-NC-4.0", None) and got[5].licence is None
-    assert licences.scan(files.limit(0), licences.template_rows(spark)).count() == 0
-
-
 def test_scores_by_long_contexts(spark, tmp_path):
     """The query's model uses contexts of five bytes: against a brute-force descent through all contexts."""
     rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(TEXTS)]
