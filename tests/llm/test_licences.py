@@ -91,7 +91,7 @@ def fixture():
     mit, gpl, apache, bsd = t["MIT"], t["GPL-3.0"], t["Apache-2.0"], t["BSD-3-Clause"]
     files = [
         ("a/LICENSE", "The MIT License (MIT)\n\nCopyright (c) 2020 Somebody\n\n" + mit), ("a/b/x.py", prose(60)), ("a/b/c/y.py", prose(30)),
-        ("g/z.c", comment(gpl, mark=" * ").replace(" * ", "/* ", 1) + "\n */\n" + prose(90)), ("g/w.c", prose(20)),
+        ("g/z.c", comment(gpl, mark=" * ").replace(" * ", "/* ", 1) + "\n */\n" + " ".join(f"code{i}" for i in range(90))), ("g/w.c", prose(20)),
         ("p/COPYING", "Apache License\nVersion 2.0, January 2004\n\n" + prose(300)), ("p/q/r.c", "int x;\n"), ("p/s.go", "// " + prose(5) + "\n\n" + comment(apache, mark="// ") + "\n\n" + prose(100)),
         ("n/1", prose(80) + "\nLicensed under CC BY-NC 4.0.\n" + prose(40)), ("n/2", "Licensed under CC BY-NC 4.0."), ("n/3", None), ("n/4", ""), ("n/5", " \n "), (None, bsd), ("flat", bsd),
         ("t/1", "Released under the MIT License."), ("t/2", "Licensed under the Apache License, Version 2.0."), ("t/3", prose(9)), ("t/u/v/w/4", prose(9)), ("n/1", prose(80)),
