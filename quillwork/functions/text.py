@@ -20,6 +20,7 @@ QUESTION_OPENINGS = ("who", "what", "where", "when", "which", "how", "why", "in
 PRONOUN_ANSWERS = ("it", "they", "he", "she", "him", "her", "them", "us", "you", "we", "yes", "no", "maybe", "true", "false")
 #: Prefixes of link targets outside the articles.
 NAMESPACES = ("file:", "image:", "category:", "help:", "portal:", "template:", "user:", "talk:", "wikipedia:", "book:", "special:")
+#: Fixed value: months of dates.
 MONTHS = "january|february|march|april|may|june|july|august|september|october|november|december"
 
 
@@ -32,7 +33,8 @@ def text(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(text(c), r"^\s+|\s+$", "")
+    """White space off both ends, any that Unicode knows."""
+    return F.regexp_replace(text(c), r"(?U)^\s+|\s+$", "")
 
 
 def tokens(c: Column) -> Column:
@@ -49,7 +51,12 @@ def content_set(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    return F.size(F.filter(F.split(text(c), r"\s+"), lambda w: w != "")).cast("long")
+    return F.size(F.filter(F.split(text(c), r"(?U)\s+"), lambda w: w != "")).cast("long")
+
+
+def years(c: Column) -> Column:
+    """Years 1000-2099 that stand alone, in order, with repeats."""
+    return F.regexp_extract_all(text(c), F.lit(r"(?U)\b(1[0-9]{3}|20[0-9]{2})\b"), F.lit(1))
 
 
 def sentences(c: Column) -> Column:
@@ -57,10 +64,15 @@ def sentences(c: Column) -> Column:
     return F.filter(F.transform(F.split(text(c), r"(?<=[.!?])\s+"), strip), lambda s: s != "")
 
 
+def decoded(href: Column) -> Column:
+    """Decoded, trimmed and lower-cased. Escapes are decoded one by one: a bad one, and a plus sign, stay as they are."""
+    raw = F.regexp_replace(F.replace(text(href), F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.lower(strip(F.coalesce(F.try_url_decode(raw), raw)))
+
+
 def link_target(href: Column) -> Column:
-    """Decoded, trimmed and lower-cased target; null if empty, in a namespace, or with a fragment."""
-    raw = text(href)
-    t = F.lower(F.btrim(F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw)))
+    """The target of a link as decoded; null if empty, in a namespace, or with a fragment."""
+    t = decoded(href)
     bad = (t == "") | F.contains(t, F.lit("#")) | t.rlike("^(wikt:|" + "|".join(NAMESPACES) + ")")
     return F.when(~bad, t)
 
@@ -83,11 +95,22 @@ def overlap_fraction(question: Column, chunk: Column) -> Column:
 
 def normal_answer(c: Column) -> Column:
     """Lower case, articles out, then punctuation to spaces, then single spaces."""
-    t = F.regexp_replace(F.lower(strip(c)), r"\b(a|an|the)\b", " ")
-    return strip(F.regexp_replace(F.regexp_replace(t, r"[!-/:-@\[-`{-~]", " "), r"\s+", " "))
+    t = F.regexp_replace(F.lower(strip(c)), r"(?U)\b(a|an|the)\b", " ")
+    return strip(F.regexp_replace(F.regexp_replace(t, r"[!-/:-@\[-`{-~]", " "), r"(?U)\s+", " "))
+
+
+def bounded(low: Column, want: Column) -> Column:
+    """Whether want occurs in low with a border of words at both of its ends; not if it is empty."""
+    n = F.length(want)
+    word = lambda x: F.coalesce(x.rlike(r"(?U)^\w$"), F.lit(False))
+    places = F.filter(F.sequence(F.lit(1), F.greatest(F.length(low), F.lit(1))), lambda i: F.substring(low, i, n) == want)
+    start = lambda i: word(F.when(i > 1, F.substring(low, i - 1, F.lit(1)))) != word(F.substring(want, F.lit(1), F.lit(1)))
+    end = lambda i: word(F.substring(low, i + n, F.lit(1))) != word(F.substring(want, n, F.lit(1)))
+    return (want != "") & F.contains(low, want) & F.exists(places, lambda i: start(i) & end(i))
 
 
 def answer_type(c: Column) -> Column:
+    """Kind of a short answer. The patterns, and three words at most for a name."""
     s = strip(c)
     parts = F.split(s, r"\s+")
     capital = lambda w: (F.substring(w, 1, 1) == F.upper(F.substring(w, 1, 1))) & (F.substring(w, 1, 1) != F.lower(F.substring(w, 1, 1)))
@@ -103,6 +126,7 @@ def answer_type(c: Column) -> Column:
 
 
 def path_id(doc_ids: Column, bridge: Column) -> Column:
+    """Key of a path by its documents, in any order, and its bridge."""
     return F.concat(F.lit("p_"), F.substring(F.sha1(F.concat(F.array_join(F.array_sort(doc_ids), "|"), F.lit("||"), bridge)), 1, 12))
 
 

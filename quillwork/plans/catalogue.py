@@ -6,22 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import chunking, funnel, graph, passages, retrieval, similarity
-from ..sources.tables import articles, table
-
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def add(f):
-        QUERIES[name] = f
-        if sql is not None:
-            SQL[name] = sql
-        return f
-
-    return add
+from ..operators import chunking, corpus, funnel, graph, passages, retrieval, similarity
+from ..sources.scratch import stash
+from ..sources.tables import articles, named_articles, table
+from .registry import QUERIES, SQL, query
 
+__all__ = ["QUERIES", "SQL"]
 
 WORDS = r"list_filter(regexp_split_to_array({}, '\s+'), lambda x: x <> '')"
 TOK = "regexp_extract_all(lower(coalesce({}, '')), '[a-z0-9]+')"
@@ -29,7 +19,12 @@ STOPS = "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(tx.STOP)) + "]"
 HREFS = "regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)"
 POSTS = f"select distinct page_id as doc, trim(lower(url_decode(h))) as entity from (select page_id, unnest({HREFS}) as h from pages) where trim(lower(url_decode(h))) <> '' and not contains(h, '#')"
 IDF = f"posts as ({POSTS}), f as (select entity, count(*) as df from posts group by 1), nd as (select count(*) as n from pages), idf as (select entity, df, ln((select n from nd) / df) as idf from f where df >= 2 and not (df > (select df from (select df, row_number() over (order by df) - 1 as k, count(*) over () as m from f) where k = least(m - 1, floor(m * 0.98))) and df >= 100))"
-EDGES = f"with {IDF}, p as (select doc, entity, idf from posts join idf using (entity) where df <= 100), pr as (select x.doc as a, y.doc as b, x.entity, x.idf from p x join p y on x.entity = y.entity and x.doc < y.doc)"
+TITLE = "'/' || lower(regexp_extract(regexp_extract(html, '<title>([^<]*)</title>', 1), '^[\\p{L}]+'))"
+EDGES = f"""with {IDF}, p as (select doc, entity, idf from posts join idf using (entity) where df <= 100), pr as (select x.doc as a, y.doc as b, x.entity, x.idf from p x join p y on x.entity = y.entity and x.doc < y.doc),
+ti as (select page_id as doc, {TITLE} as title from pages), own as (select title, max(doc) as dst from ti group by 1),
+dl as (select least(doc, dst) as a, greatest(doc, dst) as b, count(*) * 2.0 as w from (select distinct doc, dst from posts join own on entity = title where doc <> dst) group by 1, 2),
+se as (select a, b, sum(idf) as w, count(*) as n, count(*) filter (idf > 3.0) as spec, max(idf) as m, list(entity order by idf desc, entity) as shared from pr group by 1, 2),
+e as (select coalesce(se.a, dl.a) as a, coalesce(se.b, dl.b) as b, coalesce(se.w, 0) + coalesce(dl.w, 0) as weight, dl.w is not null as direct, coalesce(n, 0) as n, coalesce(spec, 0) as spec, m, coalesce(shared, []::varchar[]) as shared from se full join dl on se.a = dl.a and se.b = dl.b)"""
 
 
 def _arts(spark, d) -> DataFrame:
@@ -37,21 +32,24 @@ def _arts(spark, d) -> DataFrame:
 
 
 def _idf(spark, d):
-    posts = graph.postings(_arts(spark, d))
-    freq = graph.frequencies(posts)
+    posts = stash(graph.postings(_arts(spark, d)), "postings")
+    freq = stash(graph.frequencies(posts), "frequencies")
     n = table(spark, d, "pages").count()
     cutoff = graph.rank_percentile(freq, "df", 0.98).first()[0] or 0
     return posts, graph.weights(freq, n, cutoff)
 
 
+def _named(spark, d) -> DataFrame:
+    return named_articles(table(spark, d, "pages"))
+
+
 def _edges(spark, d) -> DataFrame:
-    return graph.edges(*_idf(spark, d))
+    return graph.edges(*_idf(spark, d), graph.direct_links(_named(spark, d)))
 
 
 @query("corpus_basic_filter", f"select page_id, cast(length(regexp_replace(html, '<[^>]*>', ' ', 'g')) as bigint) as chars, cast(len({HREFS}) as bigint) as links from pages where length(regexp_replace(html, '<[^>]*>', ' ', 'g')) >= 500 and len({HREFS}) >= 3")
 def corpus_basic_filter(spark, d):
-    a = _arts(spark, d).select("page_id", F.length("article").cast("long").alias("chars"), F.size("links").cast("long").alias("links"))
-    return a.filter("chars >= 500 and links >= 3")
+    return corpus.passes(_arts(spark, d)).select("page_id", F.length("article").cast("long").alias("chars"), F.size("links").cast("long").alias("links"))
 
 
 @query("link_targets_norm", POSTS.replace("page_id as doc", "page_id as doc"))
@@ -61,7 +59,7 @@ def link_targets_norm(spark, d):
 
 @query("title_keep_first", "select page_id, t as title from (select page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) as t, row_number() over (partition by lower(trim(regexp_extract(html, '<title>([^<]*)</title>', 1))) order by page_id) as k from pages) where k = 1")
 def title_keep_first(spark, d):
-    return similarity.first_by(_arts(spark, d).select("page_id", "title"), F.lower(F.btrim("title")), ["page_id"])
+    return corpus.one_per_title(_arts(spark, d).select("page_id", "title"))
 
 
 @query("doc_projection", "select printf('doc_%06d', doc_id) as doc_key, doc_id as source_id, lang as language, cast(length(text) as bigint) as char_count, cast(len(" + WORDS.format("text") + ") as bigint) as word_count from documents")
@@ -74,11 +72,32 @@ def sentence_split_counts(spark, d):
     return table(spark, d, "documents").select("doc_id", F.size(tx.sentences(F.col("text"))).cast("long").alias("n_sentences"), tx.word_count(F.col("text")).alias("n_words"))
 
 
-@query("chunk_pack")
+CHUNKS = r"""with recursive d as (select doc_id, coalesce(text, '') as t, list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(regexp_replace(x, '^\s+|\s+$', '', 'g'))), lambda x: x <> '') as parts from documents),
+sp(doc_id, k, st, en) as (select doc_id, 0, 0, 0 from d where len(parts) > 0 union all select sp.doc_id, sp.k + 1, sp.en + instr(substr(t, sp.en + 1), parts[sp.k + 1]) - 1, sp.en + instr(substr(t, sp.en + 1), parts[sp.k + 1]) - 1 + length(parts[sp.k + 1]) from sp join d using (doc_id) where sp.k < len(parts)),
+s as (select doc_id, k, st, en, len(list_filter(regexp_split_to_array(parts[k], '\s+'), lambda x: x <> '')) as w from sp join d using (doc_id) where k > 0),
+c as (select doc_id, list(u order by k) as p, list(st order by k) as st, list(en order by k) as en from (select *, sum(w) over (partition by doc_id order by k) as u from s) group by 1),
+g as (select doc_id, list_prepend(0, p) as p, len(p) as n, st, en from c),
+r(doc_id, i, j, k) as (select doc_id, 0, case when p[n + 1] <= 300 then n else greatest(1, least(n, list_position(list_transform(p, lambda x: x >= 225), true) - 1, len(list_filter(p, lambda x: x <= 300)) - 1)) end, 0 from g
+union all select doc_id, ni, greatest(ni + 1, least(n, coalesce(nullif(list_position(list_transform(p, lambda x: x >= p[ni + 1] + 225), true), 0), n + 1) - 1, len(list_filter(p, lambda x: x <= p[ni + 1] + 300)) - 1)), k + 1 from (select r.doc_id, r.k, g.p, g.n, greatest(r.i + 1, len(list_filter(g.p, lambda x: x <= g.p[r.j + 1] - 40)) - 1) as ni from r join g using (doc_id) where r.j < g.n))
+"""
+
+
+@query("chunk_pack", CHUNKS + "select printf('c_%06d_%03d', doc_id, k) as chunk_id, doc_id, cast(k as bigint) as chunk_index, array_to_string(parts[i + 1:j], ' ') as chunk_text, null::varchar as section_title, null::int as page_no, cast(p[j + 1] - p[i + 1] as bigint) as word_count, cast(length(array_to_string(parts[i + 1:j], ' ')) as bigint) as char_count, cast(st[i + 1] as bigint) as start_char, cast(en[j] as bigint) as end_char from r join g using (doc_id) join d using (doc_id)")
 def chunk_pack(spark, d):
     return chunking.chunks(table(spark, d, "documents"))
 
 
+@query("section_title", """with h as (select conv_id, turn, chr(10) || '== ' || coalesce(role, '') || ' ' || turn || ' ==' || chr(10) as head, coalesce(text, '') as t from conversations),
+p as (select *, case when turn = min(turn) over (partition by conv_id) then 0 else 1 + sum(length(head) + length(t)) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding) end as st, trim(regexp_replace(head, '[=\\n]', '', 'g')) as title from h), o as (select distinct conv_id, unnest([0, 100, 500, 2000, 100000]) as off from h)
+select conv_id, off, max_by(title, st) as title from o join p using (conv_id) where st <= off group by 1, 2""")
+def section_title(spark, d):
+    """Turns as sections of a raw text: the title at some offsets."""
+    head = F.concat(F.lit("\n== "), tx.text(F.col("role")), F.lit(" "), F.col("turn").cast("string"), F.lit(" ==\n"))
+    raw = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", F.concat(head, tx.text(F.col("text"))).alias("t")))), lambda x: x["t"]), "").alias("raw"))
+    offs = raw.select("conv_id", chunking.sections(F.col("raw")).alias("heads"), F.explode(F.array(*[F.lit(x) for x in (0, 100, 500, 2000, 100000)])).alias("off"))
+    return offs.select("conv_id", "off", chunking.section_at(F.col("heads"), F.col("off")).alias("title"))
+
+
 @query("entity_df_idf", f"with {IDF} select entity, cast(df as bigint) as df, round(idf, 6) as idf from idf")
 def entity_df_idf(spark, d):
     return _idf(spark, d)[1].select("entity", "df", F.round("idf", 6).alias("idf"))
@@ -89,29 +108,42 @@ def df_percentile_cutoff(spark, d):
     return graph.rank_percentile(graph.frequencies(graph.postings(_arts(spark, d))), "df", 0.98)
 
 
-@query("graph_edges", EDGES + " select a, b, round(sum(idf), 6) as weight, cast(count(*) as bigint) as n_shared from pr group by 1, 2")
+@query("graph_edges", EDGES + " select a, b, round(weight, 6) as weight, direct, cast(n as bigint) as n_shared from e")
 def graph_edges(spark, d):
-    return _edges(spark, d).select("a", "b", F.round("weight", 6).alias("weight"), F.size("shared").cast("long").alias("n_shared"))
+    return _edges(spark, d).select("a", "b", F.round("weight", 6).alias("weight"), "direct", F.size("shared").cast("long").alias("n_shared"))
 
 
-@query("graph_bridge", EDGES + " select a, b, entity as bridge from (select *, row_number() over (partition by a, b order by idf desc, entity) as k from pr) where k = 1")
-def graph_bridge(spark, d):
-    return _edges(spark, d).select("a", "b", F.get("shared", F.lit(0)).alias("bridge"))
+@query("graph_direct_edges", EDGES + " select a, b, w::double as weight from dl")
+def graph_direct_edges(spark, d):
+    return graph.direct_links(_named(spark, d))
 
 
-FEATURES = r"w as (select page_id as doc, lower(regexp_extract(html, '<title>([^<]*)</title>', 1)) as title, len(list_filter(regexp_split_to_array(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\s+'), lambda x: x <> '')) as words from pages)"
-SCORED = EDGES + f""", {FEATURES}, e as (select a, b, sum(idf) as weight, max(idf) as m, count(*) as n, first(entity order by idf desc, entity) as bridge from pr group by 1, 2),
-s as (select e.a, e.b, e.weight, e.bridge, greatest(0, least(1, 0.45 * case when m / (select max(idf) from idf) between 0.2 and 0.9 then 1 else 0.5 end + 0.25 * case when bridge in (x.title, y.title) then 0.4 else 1 end + 0.15 * least(x.words, y.words) / greatest(x.words, y.words, 1) + 0.15 * least(1, n / 4))) as score from e join w x on e.a = x.doc join w y on e.b = y.doc)"""
+CAUSED = " or ".join(f"contains(lower(substr(t, 1, 500)), '{w}')" for w in graph.CAUSES)
+LIST = lambda v: "[" + ", ".join(f"'{w}'" for w in v) + "]"
+FEATURES = rf"art as (select page_id as doc, regexp_replace(html, '<[^>]*>', ' ', 'g') as t from pages), w as (select doc, title, len(list_filter(regexp_split_to_array(t, '\s+'), lambda x: x <> '')) as words, list_sort(list_distinct(regexp_extract_all(substr(t, 1, 2000), '\b(1[0-9]{{3}}|20[0-9]{{2}})\b', 1))) as years, ({CAUSED}) as causes from art join ti using (doc))"
+SCORED = EDGES + f""", {FEATURES}, b as (select e.*, x.title as ta, y.title as tb, x.words as wa, y.words as wb, x.years as ya, y.years as yb, x.causes as ca, y.causes as cb, coalesce(e.shared[1], y.title) as bridge from e join w x on e.a = x.doc join w y on e.b = y.doc),
+s as (select *, case when (wa < 400 and wb >= 600) or (wb < 400 and wa >= 600) then 'definition_application' when spec >= 2 and list_has_any(flatten(list_transform(shared, lambda z: regexp_split_to_array(z, '\\s+'))), {LIST(graph.COMPARED)}) then 'comparison' when n > 0 and len(ya) > 0 and len(yb) > 0 and ya <> yb then 'temporal_chain' when n > 0 and ca and cb then 'cause_effect' else 'bridge_entity' end as kind,
+case when n = 0 then 0 else greatest(0, least(1, 0.45 * case when m / (select max(idf) from idf) between 0.2 and 0.9 then 1 else 0.5 end + 0.25 * case when bridge in (ta, tb) then 0.4 else 1 end + 0.15 * case when greatest(wa, wb) > 0 then least(wa, wb) / greatest(wa, wb) else 0 end + 0.15 * least(1, n / 4))) end as score from b)"""
 
 
 def _scored(spark, d) -> DataFrame:
     posts, idf = _idf(spark, d)
+    idf = stash(idf, "idf")
     top = idf.agg(F.max("idf")).first()[0] or 1.0
-    f = _arts(spark, d).select(F.col("page_id").alias("doc"), "title", tx.word_count(F.col("article")).alias("words"))
-    return graph.path_score(graph.edges(posts, idf), f, top)
+    return graph.path_score(graph.edges(posts, idf, graph.direct_links(_named(spark, d))), graph.features(_named(spark, d)), top)
+
+
+@query("graph_bridge", SCORED + " select a, b, bridge from s")
+def graph_bridge(spark, d):
+    return _scored(spark, d).select("a", "b", "bridge")
+
+
+@query("graph_reasoning_type", SCORED + " select a, b, kind from s")
+def graph_reasoning_type(spark, d):
+    return _scored(spark, d).select("a", "b", "kind")
 
 
-@query("graph_path_score", SCORED + " select a, b, bridge, round(score, 6) as score from s")
+@query("graph_path_score", SCORED + " select a, b, bridge, round(score, 6)::double as score from s")
 def graph_path_score(spark, d):
     return _scored(spark, d).select("a", "b", "bridge", F.round("score", 6).alias("score"))
 
@@ -121,33 +153,88 @@ def path_ids(spark, d):
     return _scored(spark, d).select("a", "b", tx.path_id(F.array(F.col("a").cast("string"), F.col("b").cast("string")), F.col("bridge")).alias("path_id"))
 
 
-@query("graph_top_paths", SCORED + " select a, b, bridge, round(score, 6) as score from s order by round(score, 6) desc, a, b limit 50")
+@query("migrate_path_ids", SCORED + ", o as (select a, b, case when a % 3 = 0 then null else bridge end as bridge from s) select a, b, case when bridge is null then 'old' else 'p_' || substr(sha1(least(cast(a as varchar), cast(b as varchar)) || '|' || greatest(cast(a as varchar), cast(b as varchar)) || '||' || bridge), 1, 12) end as path_id from o")
+def migrate_path_ids(spark, d):
+    """Keys made anew; where a page number is divisible by three the bridge is taken as lost and the old key stays."""
+    old = _scored(spark, d).select("a", "b", F.array(F.col("a").cast("string"), F.col("b").cast("string")).alias("docs"), F.when(F.col("a") % 3 != 0, F.col("bridge")).alias("bridge"), F.lit("old").alias("path_id"))
+    return corpus.migrate_keys(old, "path_id", "docs", "bridge").select("a", "b", "path_id")
+
+
+@query("graph_top_paths", SCORED + " select a, b, bridge, round(score, 6)::double as score from s order by round(score, 6) desc, a, b limit 50")
 def graph_top_paths(spark, d):
     return graph_path_score(spark, d).orderBy(F.col("score").desc(), "a", "b").limit(50)
 
 
-@query("edge_prefilter_topn", EDGES + " select a, b, round(sum(idf), 6) as weight from pr group by 1, 2 order by 3 desc, 1, 2 limit 8000")
+@query("edge_prefilter_topn", EDGES + " select a, b, round(weight, 6) as weight from e order by 3 desc, 1, 2 limit 8000")
 def edge_prefilter_topn(spark, d):
     return graph_edges(spark, d).select("a", "b", "weight").orderBy(F.col("weight").desc(), "a", "b").limit(8000)
 
 
-@query("path_stratified_sample", SCORED + """, k as (select a, b, round(score, 6) as score, case when n_words < 400 then 'short' else 'long' end as kind from s join (select doc, words as n_words from w) v on s.a = v.doc),
-r as (select *, row_number() over (partition by kind order by score desc, a, b) as rk from k),
-l as (select *, rk > case kind when 'short' then 60 else 30 end as late, case kind when 'short' then 0 else 1 end as o from r)
-select a, b, kind, score from l order by late, case when late then 0 else o end, score desc, a, b limit 100""")
+_ORDER = " ".join(f"when '{k}' then {i}" for i, k in enumerate(graph.TYPE_SHARES))
+_CAPS = " ".join(f"when '{k}' then {max(1, int(v * 100))}" for k, v in graph.TYPE_SHARES.items())
+
+
+@query("path_stratified_sample", SCORED + f""", r as (select a, b, bridge, kind, round(score, 6)::double as score, row_number() over (partition by kind order by round(score, 6) desc, a, b) as rk from s),
+l as (select *, rk > case kind {_CAPS} end as late, case kind {_ORDER} end as o from r where rk <= 100)
+select a, b, bridge, kind, score from l order by late, case when late then 0 else o end, score desc, a, b limit 100""")
 def path_stratified_sample(spark, d):
-    p = _scored(spark, d).select("a", "b", F.round("score", 6).alias("score"), F.when(F.col("wa") < 400, "short").otherwise("long").alias("kind"))
-    return graph.stratified(p, {"short": 0.6, "long": 0.3}, 100)
+    p = _scored(spark, d).select("a", "b", "bridge", "kind", F.round("score", 6).alias("score"))
+    return graph.stratified(p, graph.TYPE_SHARES, 100)
+
+
+@query("graph_2hop_capped", EDGES + " select a, b from (select a, b, row_number() over (partition by a order by round(weight, 6) desc, b) as k from e) where k <= 100")
+def graph_2hop_capped(spark, d):
+    return graph.pairs_capped(_edges(spark, d))
+
+
+HOPS = EDGES + """, u as (select a, b, round(weight, 6) as w, shared from e union all select b, a, round(weight, 6), shared from e), r as (select *, row_number() over (partition by a order by w desc, b) as k from u),
+h as (select distinct least(x.a, y.b) as a, x.b as m, greatest(x.a, y.b) as b from r x join r y on x.b = y.a where x.k <= 4 and y.k <= 4 and x.a <> y.b), t as (select * from h where not exists (select 1 from e where e.a = h.a and e.b = h.b))"""
 
 
-@query("graph_3hop", EDGES + ", e as (select distinct a, b from pr), u as (select a, b from e union all select b, a from e) select x.a, x.b as m, y.b from u x join u y on x.b = y.a and x.a < y.b where not exists (select 1 from e where e.a = x.a and e.b = y.b)")
+@query("graph_3hop", HOPS + " select a, m, b from t")
 def graph_3hop(spark, d):
-    return graph.two_hops(_edges(spark, d).select("a", "b"))
+    return graph.two_hops(_edges(spark, d).select("a", "b", "weight"), 4, 4)
 
 
-@query("graph_direct_edges")
-def graph_direct_edges(spark, d):
-    return graph.direct_links(_arts(spark, d))
+@query("graph_3hop_paths", HOPS + f""", {FEATURES}, j as (select t.*, round(x.w + y.w, 6) as weight, list_distinct(list_concat(x.shared, y.shared)) as shared from t join u x on x.a = t.a and x.b = t.m join u y on y.a = t.m and y.b = t.b),
+top as (select * from j where len(shared) > 0 order by weight desc, a, m, b limit 50), g as (select top.*, idf.entity, idf, row_number() over (partition by top.a, m, top.b order by idf desc, idf.entity) as k from top, unnest(shared) as z(x) join idf on idf.entity = z.x)
+select g.a, g.m, g.b, g.entity as bridge, array_to_string(list_sort(shared), ',') as shared, round(greatest(0, least(1, 0.45 * case when idf / (select max(idf) from idf) between 0.2 and 0.9 then 1 else 0.5 end + 0.25 * case when g.entity in (p.title, q.title, v.title) then 0.4 else 1 end + 0.15 * case when greatest(p.words, q.words, v.words) > 0 then least(p.words, q.words, v.words) / greatest(p.words, q.words, v.words) else 0 end + 0.15 * least(1, len(shared) / 4))), 6)::double as score, weight
+from g join w p on p.doc = g.a join w q on q.doc = g.m join w v on v.doc = g.b where k = 1""")
+def graph_3hop_paths(spark, d):
+    posts, idf = _idf(spark, d)
+    idf = stash(idf, "idf")
+    e = stash(graph.edges(posts, idf, graph.direct_links(_named(spark, d))), "edges")
+    top = idf.agg(F.max("idf")).first()[0] or 1.0
+    p = graph.three_document_paths(e, graph.features(_named(spark, d)), idf, top, 50)
+    return p.select("a", "m", "b", "bridge", F.array_join("shared", ",").alias("shared"), F.round("score", 6).alias("score"), "weight")
+
+
+SEEDS = ["the thing", "Nicht anders", "Dans la maison", "ation ment"]
+_WORDS = LIST(corpus.seed_tokens(SEEDS))
+RANKED = f"""with ti as (select page_id as doc, {TITLE} as title from pages), posts as ({POSTS}), pos as (select page_id as doc, list_transform({HREFS}, lambda h: trim(lower(url_decode(h)))) as raw from pages),
+tg as (select doc, list_filter(list_distinct(raw), lambda h: h <> '' and not contains(h, '#')) as l from pos), ov as (select doc, count(own.title) / count(*) as overlap, count(*) as n from posts left join (select distinct title from ti) own on entity = own.title group by 1),
+first as (select doc, entity, min(list_position(raw, entity)) as p from posts join pos using (doc) group by 1, 2), fl as (select doc, list(entity order by p) as l from first group by 1),
+sc as (select doc as page_id, round(overlap, 6) as overlap, round(2.0 * overlap + 0.10 * (len(list_filter(list_slice(fl.l, 1, 40), lambda x: len(list_filter({_WORDS}, lambda s: contains(x, s))) > 0)) + 3 * len(list_filter({_WORDS}, lambda s: contains(title, s)))) + 0.02 * least(n, 60) + case when overlap >= 0.5 then 1 else 0 end, 6)::double as score from ov join fl using (doc) join ti using (doc))"""
+
+
+@query("corpus_rank_score", RANKED + " select page_id, overlap, score from sc")
+def corpus_rank_score(spark, d):
+    return corpus.rank_score(_named(spark, d), SEEDS)
+
+
+@query("corpus_degree_topn", RANKED + f""", pre as (select page_id, row_number() over (order by score desc, page_id) as pos from (select * from sc order by score desc, page_id limit 120)), tt as (select distinct title from ti join pre on doc = page_id),
+lk as (select distinct page_id, entity from (select doc as page_id, unnest(raw) as entity from pos) join pre using (page_id) join tt on entity = title), ok as (select entity from lk group by 1 having count(*) between 2 and 400), dg as (select page_id, count(*) as degree from lk join ok using (entity) group by 1),
+pick as (select page_id, pos, coalesce(degree, 0) as degree from pre left join dg using (page_id) order by degree desc, pos limit 80)
+select printf('doc_%06d', row_number() over (order by degree desc, pos) - 1) as doc_id, page_id, cast(degree as bigint) as degree from pick""")
+def corpus_degree_topn(spark, d):
+    a = _named(spark, d)
+    got = corpus.select(corpus.best_ranked(a, corpus.rank_score(a, SEEDS), 80), 80)
+    return got.select(F.format_string("doc_%06d", "seq").alias("doc_id"), "page_id", "degree")
+
+
+@query("corpus_documents", f"with a as (select page_id, {TITLE} as title, url, regexp_replace(html, '<[^>]*>', ' ', 'g') as t, {HREFS} as h from pages) select printf('doc_%06d', page_id) as doc_id, page_id as source_id, title, url, 'en' as language, cast(len(list_filter(list_transform(h, lambda x: trim(lower(url_decode(x)))), lambda x: x <> '' and not contains(x, '#'))) as bigint) as n_links, cast(length(t) as bigint) as char_count, cast(len(" + WORDS.format("t") + ") as bigint) as word_count from a")
+def corpus_documents(spark, d):
+    return corpus.documents(_named(spark, d), F.col("page_id")).select("doc_id", "source_id", "title", "url", "language", F.size("links").cast("long").alias("n_links"), "char_count", "word_count")
 
 
 def _docs(spark, d) -> DataFrame:
@@ -181,31 +268,35 @@ def bm25_topk(spark, d):
     return _bm25(spark, d)
 
 
-@query("bm25_recall_mrr")
-def bm25_recall_mrr(spark, d):
+def _gold(spark, d) -> DataFrame:
+    """(query, doc): documents that hold a passage; its first five words are the key of the join."""
     b = table(spark, d, "benchmark").select(F.col("item_id").alias("query"), F.col("text").alias("passage"))
-    # gold: documents that hold the passage; its first five words are the key of the join
     five = lambda t: F.split(F.btrim(t), r"\s+")
     key = b.withColumn("k", F.array_join(F.slice(five(F.col("passage")), 1, 5), " "))
     rows = _docs(spark, d).withColumn("w", five(F.col("text")))
     grams = rows.select("doc", F.explode(F.array_distinct(F.transform("w", lambda _, i: F.array_join(F.slice(F.col("w"), i + 1, F.lit(5)), " ")))).alias("k"))
     maybe = grams.join(key.select("query", "k"), "k").select("doc", "query").distinct()
-    gold = maybe.join(_docs(spark, d), "doc").join(b, "query").filter(F.contains(F.col("text"), F.col("passage"))).select("query", "doc")
-    hits = _bm25(spark, d)
-    return retrieval.measures(hits, gold)
+    return maybe.join(_docs(spark, d), "doc").join(b, "query").filter(F.contains(F.col("text"), F.col("passage"))).select("query", "doc")
+
+
+GOLD = "gold as (select item_id as query, doc_id as doc, case when doc_id % 2 = 0 then 3 else 2 end as grade from benchmark b join documents d on contains(d.text, b.text))"
+
+
+@query("bm25_recall_mrr", BM25 + f""", {GOLD}, per as (select query, coalesce(max(1 / rank), 0) as rr, count(rank) / count(*) as recall, count(rank) filter (grade = 3) / nullif(count(*) filter (grade = 3), 0) as g3 from gold left join (select * from r where rank <= 10) using (query, doc) group by 1)
+select count(*) as n, round(coalesce(avg(rr), 0), 6) as mrr, round(coalesce(avg(recall), 0), 6) as recall, round(coalesce(avg(g3), 0), 6) as g3_recall from per""")
+def bm25_recall_mrr(spark, d):
+    gold = _gold(spark, d).withColumn("grade", F.when(F.col("doc") % 2 == 0, 3).otherwise(2))
+    return retrieval.measures(_bm25(spark, d), gold)
 
 
 DOT = "list_dot_product(x.embedding::double[], y.embedding::double[])"
 DENSE = f"s as (select x.vec_id as query, y.vec_id as doc, round({DOT}, 6) as score from embeddings x join embeddings y on x.vec_id % 100 = 0 and x.vec_id <> y.vec_id), r as (select *, row_number() over (partition by query order by score desc, doc) as rank from s)"
 
 
-def _dense(spark, d) -> DataFrame:
-    v = table(spark, d, "embeddings")
-    # the stated query set: every vector whose id is divisible by 100, in blocks against all rows
-    q = v.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("x"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("block"))
-    rows = v.select(F.col("vec_id").alias("doc"), F.col("embedding").alias("y"), F.pmod(F.xxhash64("vec_id"), F.lit(8)).cast("int").alias("block"))
-    s = rows.join(q, "block").filter("query <> doc").select("query", "doc", F.round(retrieval.dot(F.col("x"), F.col("y")), 6).alias("score"))
-    return retrieval.ranked(s, 10)
+def _dense(spark, d, k: int = 10) -> DataFrame:
+    """The stated query set: every vector whose id is divisible by 100, against all rows."""
+    v = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+    return similarity.vector_topk(v.filter("id % 100 = 0"), v, k)
 
 
 @query("dense_topk", f"with {DENSE} select query, doc, score, cast(rank as int) as rank from r where rank <= 10")
@@ -220,23 +311,60 @@ def dense_label_recall(spark, d):
     return hit.groupBy("query").agg(F.round(F.avg(F.when(F.col("lx") == F.col("ly"), 1.0).otherwise(0.0)), 6).alias("precision"))
 
 
+@query("dense_best_match", f"with {DENSE} select query, doc, score from r where rank = 1")
+def dense_best_match(spark, d):
+    return _dense(spark, d, 1).select("query", "doc", "score")
+
+
+@query("vector_block_topk", f"with {DENSE} select query, doc, score, cast(rank as int) as rank from r where rank <= 5")
+def vector_block_topk(spark, d):
+    """The same search in small blocks of rows, whose best are merged."""
+    v = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+    return similarity.vector_topk(v.filter("id % 100 = 0"), v, 5, 64)
+
+
 @query("cosine_pairs", f"select x.vec_id as a, y.vec_id as b, round({DOT}, 6) as similarity from embeddings x join embeddings y on x.vec_id < y.vec_id where round({DOT}, 6) >= 0.4")
 def cosine_pairs(spark, d):
     v = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
     return similarity.cosine_pairs(v, 0.4)
 
 
-@query("jaccard_pairs")
+SETS = f"sets as (select doc_id, list_sort(list_filter(list_distinct({TOK.format('text')}), lambda w: not list_contains({STOPS}, w))) as s from documents), cl as (select *, min(doc_id) over (partition by s) as rep from sets where len(s) > 0), one as (select doc_id, s, len(s) as n from cl where doc_id = rep), jp as (select x.doc_id as a, y.doc_id as b from one x join one y on x.doc_id < y.doc_id and x.n >= 0.85 * y.n - 1e-9 and y.n >= 0.85 * x.n - 1e-9 where len(list_intersect(x.s, y.s)) / (x.n + y.n - len(list_intersect(x.s, y.s))) >= 0.85)"
+
+
+def _jaccard(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, classes, pairs of class representatives)."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    return docs, *similarity.jaccard_pairs(docs, 0.85)
+
+
+@query("jaccard_pairs", f"with {SETS}, l as (select a as rep, count(*) as k from (select a from jp union all select b from jp) group by 1) select doc_id, coalesce(rep, doc_id) as class_id, cast(coalesce(k, 0) as bigint) as n_links from sets left join cl using (doc_id) left join l using (rep)")
 def jaccard_pairs(spark, d):
     """One row per document: its class and the number of its links to other classes."""
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
-    classes, pairs = similarity.jaccard_pairs(docs, 0.85)
+    docs, classes, pairs = _jaccard(spark, d)
     bare = docs.filter(~F.coalesce(F.size(tx.content_set(F.col("text"))) > 0, F.lit(False)))  # no content token: a class of its own
     classes = classes.union(bare.select("id", F.col("id").alias("rep")))
     links = pairs.select("a").union(pairs.select("b")).groupBy(F.col("a").alias("rep")).agg(F.count(F.lit(1)).alias("links"))
     return classes.join(links, "rep", "left").select(F.col("id").alias("doc_id"), F.col("rep").alias("class_id"), F.coalesce("links", F.lit(0).cast("long")).alias("n_links"))
 
 
+@query("jaccard_greedy_keep", f"""with recursive {SETS}, nb as (select b as id, list(a) as before from jp group by 1), o as materialized (select id, before, row_number() over (order by id) as k from nb),
+g(k, gone) as (select 0::bigint, []::bigint[] union all select o.k, case when len(list_filter(o.before, lambda x: not list_contains(g.gone, x))) > 0 then list_append(g.gone, o.id) else g.gone end from g join o on o.k = g.k + 1)
+select doc_id from sets left join cl using (doc_id) where (rep is null or rep = doc_id) and not list_contains((select gone from g order by k desc limit 1), doc_id)""")
+def jaccard_greedy_keep(spark, d):
+    """The documents that a scan by id keeps. Of equal sets only the first can stay; a document without a token always does."""
+    docs, classes, pairs = _jaccard(spark, d)
+    first = docs.select("id").join(classes.filter("id <> rep").select("id"), "id", "left_anti")
+    return similarity.greedy_keep(first, pairs).select(F.col("id").alias("doc_id"))
+
+
+@query("cosine_cluster_keep")
+def cosine_cluster_keep(spark, d):
+    """Vectors that remain of clusters at .4, scored by a number of their label; held against a scan in the tests."""
+    v = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), (F.col("label") % 3).cast("double").alias("score"))
+    return similarity.cluster_keep(v.select("id", "score"), similarity.cosine_pairs(v.select("id", "vec"), 0.4).select("a", "b")).select(F.col("id").alias("vec_id"))
+
+
 @query("token_bag_regex_features", rf"select doc_id, cast(len({TOK.format('text')}) as bigint) as n_tokens, cast(len(list_distinct({TOK.format('text')})) as bigint) as n_distinct, cast(len(list_distinct(regexp_extract_all(substr(text, 1, 2000), '\b(1[0-9]{{3}}|20[0-9]{{2}})\b', 1))) as bigint) as n_years from documents")
 def token_bag_regex_features(spark, d):
     t = F.col("text")
@@ -272,20 +400,6 @@ def heuristic_score(spark, d):
     return _records(spark, d).select("conv_id", "turn", F.round(funnel.heuristic_score(F.col("question"), F.col("short"), F.col("answer"), F.col("answer")), 6).alias("score"))
 
 
-@query("answer_type_share")
-def answer_type_share(spark, d):
-    g = _records(spark, d).groupBy(tx.answer_type(F.col("short")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
-    return g.select("kind", "n", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 4).alias("share"))
-
-
-@query("filter_battery_reasons")
-def filter_battery_reasons(spark, d):
-    r = _records(spark, d)
-    reject, flag = funnel.filter_reasons(F.col("question"), F.col("short"), F.col("answer"), tx.overlap_fraction(F.col("question"), F.col("answer")))
-    both = r.select(F.explode(F.concat(F.transform(reject, lambda x: F.struct(F.lit("reject").alias("kind"), x.alias("reason"))), F.transform(flag, lambda x: F.struct(F.lit("flag").alias("kind"), x.alias("reason"))))).alias("x"))
-    return both.groupBy("x.kind", "x.reason").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("token_overlap_leakage", f"with {TURNS}, q as (select conv_id, turn, list_filter({TOK.format('question')}, lambda w: not list_contains({STOPS}, w)) as q, {TOK.format('answer')} as c from r) select conv_id, turn, round(case when len(q) > 0 then len(list_filter(q, lambda w: list_contains(c, w))) / len(q) else 0 end, 6)::double as leakage from q")
 def token_overlap_leakage(spark, d):
     return _records(spark, d).select("conv_id", "turn", F.round(tx.overlap_fraction(F.col("question"), F.col("answer")), 6).alias("leakage"))
@@ -298,13 +412,6 @@ def length_histograms(spark, d):
     return x.agg(*[F.count_if(F.expr(c)).alias(a) for c, a in (("n < 8", "b0"), ("n >= 8 and n < 60", "b8"), ("n >= 60 and n < 200", "b60"), ("n >= 200", "b200"))], F.round(F.avg("n"), 2).alias("mean"))
 
 
-@query("quality_gates", "select round(avg(case when quality = 1 then 1.0 else 0.0 end), 6) as good_share, round(avg(case when toxic = 1 then 1.0 else 0.0 end), 6) as toxic_share, cast(count(*) as bigint) as n, avg(case when quality = 1 then 1.0 else 0.0 end) >= 0.5 as good_pass from labels")
-def quality_gates(spark, d):
-    x = table(spark, d, "labels")
-    good, toxic = F.avg(F.when(F.col("quality") == 1, 1.0).otherwise(0.0)), F.avg(F.when(F.col("toxic") == 1, 1.0).otherwise(0.0))
-    return x.agg(F.round(good, 6).alias("good_share"), F.round(toxic, 6).alias("toxic_share"), F.count(F.lit(1)).alias("n"), (good >= 0.5).alias("good_pass"))
-
-
 @query("json_props_extract", "select event_id, try_cast(json_extract_string(props, '$.k') as bigint) as k from events")
 def json_props_extract(spark, d):
     return table(spark, d, "events").select("event_id", F.expr("try_cast(get_json_object(props, '$.k') as bigint)").alias("k"))
@@ -332,9 +439,9 @@ def chunk_hints(spark, d):
 
 
 @query("leading_text", """with c as (select conv_id as doc, turn, coalesce(text, '') as t, coalesce(sum(length(coalesce(text, ''))) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding), 0) as before from conversations)
-select doc, string_agg(t, chr(10) order by turn) as text, count(*) as n_chunks from c where before < 300 group by 1""")
+select doc, string_agg(t, chr(10) order by turn) as text, count(*) as n_chunks from c where before < 6000 group by 1""")
 def leading_text(spark, d):
-    return passages.leading_text(_turns(spark, d), 300)
+    return passages.leading_text(_turns(spark, d))
 
 
 @query("span_map", f"""with {TURNS}, s as (select distinct conv_id as doc, turn as id, regexp_replace(trim(short), '^["'']+|["'']+$', '', 'g') as span from r where short <> ''),

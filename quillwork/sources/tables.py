@@ -18,10 +18,6 @@ def jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return raw.select(F.from_json("value", schema).alias("r")).select("r.*")
 
 
-def append_jsonl(df: DataFrame, path: str) -> None:
-    df.write.mode("append").json(path)
-
-
 def hrefs(html: Column) -> Column:
     return F.regexp_extract_all(tx.text(html), F.lit('href="([^"]*)"'), F.lit(1))
 
@@ -37,3 +33,9 @@ def bare_text(html: Column) -> Column:
 def articles(pages: DataFrame) -> DataFrame:
     """pages as articles: page_id, title, url, article, links (hrefs)."""
     return pages.select("page_id", title(F.col("html")).alias("title"), "url", bare_text(F.col("html")).alias("article"), hrefs(F.col("html")).alias("links"))
+
+
+def named_articles(pages: DataFrame) -> DataFrame:
+    """Articles whose title is a slash and the letters that the page's title starts with, as links name them: pages link
+    to each other by it."""
+    return articles(pages).withColumn("title", F.concat(F.lit("/"), F.lower(F.regexp_extract("title", r"^[\p{L}]+", 0))))

@@ -37,7 +37,7 @@ def test_bm25(spark):
 def test_measures(spark):
     hits = spark.createDataFrame([(1, 9, 1), (1, 5, 2)], "query long, doc long, rank int")
     gold = spark.createDataFrame([(1, 5), (1, 6)], "query long, doc long")
-    assert tuple(retrieval.measures(hits, gold).first()) == (1, 0.5, 0.5)
+    assert tuple(retrieval.measures(hits, gold).first()) == (1, 0.5, 0.5, 0.0)
 
 
 def test_decide(spark):
@@ -70,10 +70,6 @@ def test_jaccard_pairs(spark):
     assert {(r.a, r.b) for r in pairs.collect()} == want
 
 
-def test_greedy_keep():
-    assert similarity.greedy_keep([1, 2, 3], {(1, 2), (2, 3)}) == [1, 3]
-
-
 def test_pending(spark):
     jobs = spark.range(1).select(F.lit("p1").alias("p"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("i"))
     done = spark.createDataFrame([("p1", 0)], "p string, i int")
@@ -93,12 +89,6 @@ def test_passages(spark):
     assert row.b == '--- Document A (doc_id: d1, title: "T") ---\none\ntwo\n'
 
 
-def test_cluster_keep():
-    pairs = {(1, 2), (2, 3)}
-    assert similarity.cluster_keep([1, 2, 3], [0.5, 0.9, 0.7], pairs) == [2]
-    assert similarity.cluster_keep([1, 2, 3], [0.9, 0.5, 0.7], pairs) == [1, 3]
-
-
 def test_jaccard_pairs_of_every_document(spark, tmp_path):
     from quillwork.plans import catalogue
 
