@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -15,19 +10,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..sources.scratch import maybe_broadcast, partitions, release, scratch, small_enough, stash
+
+__all__ = ["maybe_broadcast", "partitions", "release", "scratch", "small_enough", "stash"]
 
 ROOT = str(Path(__file__).resolve().parents[2])
 #: ASCII white space of the word pattern [^\x20\x09-\x0D]+.
 WHITE = " \t\n\x0b\x0c\r"
 NOT_WORD = r"[ \t\n\x0B\f\r]+"
-_own: dict[str, str] = {}
-_made: dict[str, list[str]] = {}
-
-
-def session() -> SparkSession:
-    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
-
 
 def prepare(spark: SparkSession) -> None:
     """Let Python workers import this package, and bound the bytes of an Arrow batch."""
@@ -35,54 +26,10 @@ def prepare(spark: SparkSession) -> None:
     if ROOT not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(x for x in (ROOT, env.get("PYTHONPATH", "")) if x)
     env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")  # workers are used again; other pools keep what a batch took
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir; a folder of this process only where that is unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        app = spark.sparkContext.applicationId
-        if app not in _own:
-            _own[app] = tempfile.mkdtemp(prefix="quillwork-")
-            atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
-        base = f"file://{_own[app]}"
-    path = f"{base.rstrip('/')}/quillwork-{uuid.uuid4().hex}"
-    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return path
-
-
-def release(spark: SparkSession) -> None:
-    """Delete what operators have written for this application. Frames that they returned can't be read any more."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for x in _made.pop(spark.sparkContext.applicationId, []):
-        path = jvm.org.apache.hadoop.fs.Path(x)
-        path.getFileSystem(conf).delete(path, True)
-
-
-def stash(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = f"{scratch(df.sparkSession)}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def small_enough(df: DataFrame, limit: int, size: Column | None = None, most: int = 32 << 20) -> bool:
-    """True if df has at most limit rows, and the sizes of its rows add up to most at most; reads no more than limit + 1."""
-    got = df.limit(limit + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.lit(0) if size is None else size), F.lit(0)).alias("size")).first()
-    return got["n"] <= limit and got["size"] <= most
-
-
-def maybe_broadcast(df: DataFrame, limit: int, size: Column | None = None) -> DataFrame:
-    """Broadcast hint behind a check of the row count, and of the rows' sizes where they vary; a shuffled join beyond it."""
-    return F.broadcast(df) if small_enough(df, limit, size) else df
-
-
 def share(rows: int, spark: SparkSession) -> int:
     """Rows of one key above which a join deals them over several tasks; so there are at most 4 * partitions such keys."""
     return max(2000, rows // (4 * partitions(spark)))
@@ -210,6 +157,3 @@ class Known:
             at[at < 0] = np.arange(len(self.words), len(self.words) + len(new))
             self.words = pa.concat_arrays([self.words, new])
         return self.first[at], self.size[at], self.flat
-
-
-DOC_FIELDS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])

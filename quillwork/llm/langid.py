@@ -1,8 +1,9 @@
 """Language identification: a bidirectional gated recurrent network over bytes, trained in numpy.
 
-Training is by backpropagation through time on a bounded sample of labelled rows (Settings.sample_rows, the rows with
-the least hash of doc_id). A whole text is cut into windows; in each, every byte gets a probability for each language
-from the states of both directions, and a document's probabilities are the mean over all its bytes.
+Training is by backpropagation through time on the whole texts of a bounded sample of labelled rows
+(Settings.sample_rows, the rows with the least hash of doc_id). A whole text is cut into windows that overlap; in each,
+the states of both directions run through the neighbouring bytes first, and every byte gets a probability for each
+language in the one window that it is labelled in. A document's probabilities are the mean over all its bytes.
 """
 
 from __future__ import annotations
@@ -25,10 +26,10 @@ class Settings:
     modulus: int = 5
     held_out: int = 0  # remainder that is not learned from
     sample_rows: int = 4000  # labelled rows that the network learns from, at most
-    sample_windows: int = 4  # windows of each, spread over its text
-    window: int = 96  # bytes; states start anew in each window
-    hidden: int = 6  # units in each direction
-    epochs: int = 5
+    window: int = 160  # bytes of a window
+    overlap: int = 32  # of these, on each side, bytes that only set the states
+    hidden: int = 8  # units in each direction
+    epochs: int = 1
     least_steps: int = 400  # small samples are gone over more often
     batch: int = 256
     rate: float = 0.02
@@ -109,8 +110,8 @@ class Runner:
         self.in_, self.v, self.tmp, self.t2 = f(2, 3 * h, lanes), f(2, 3 * h, lanes), f(2, h, lanes), f(2, 2 * h, lanes)
         self.out = f(steps, 2, h, lanes)
 
-    def __call__(self, seq: np.ndarray) -> np.ndarray:
-        """Probabilities (langs, lanes), summed over the real bytes of each window. seq: (steps, lanes), PAD after the end."""
+    def __call__(self, seq: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Probabilities (langs, lanes), summed over each window's own bytes. seq, own: (steps, lanes), PAD after the end."""
         h, n, v, x, tmp = self.h, self.steps, self.v, self.in_, self.tmp
         state = np.zeros((2, h, self.lanes), np.float32)
         z, r, q = v[:, :h], v[:, h : 2 * h], v[:, 2 * h :]
@@ -138,7 +139,7 @@ class Runner:
             e += self.b
             e -= e.max(0)
             np.exp(e, out=e)
-            e *= (seq[t] != PAD) / e.sum(0)
+            e *= own[t] / e.sum(0)
             total += e
         return total
 
@@ -204,15 +205,22 @@ def train(windows: np.ndarray, lang: np.ndarray, langs: int, s: Settings) -> dic
     return p
 
 
-def cut(data: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text of each window, (windows, n) symbols padded at the end)."""
+def cut(data: np.ndarray, off: np.ndarray, n: int, overlap: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text of each window, (windows, n) symbols padded at the end, which of them are the window's own).
+
+    Each byte is the own one of one window, which has `overlap` bytes before and after it where the text has any.
+    """
     size = np.diff(off)
-    k = -(-size // n)
+    step = n - 2 * overlap
+    k = -(-size // step)
     who = np.repeat(np.arange(len(size)), k)
-    first = off[who] + (np.arange(len(who)) - np.repeat(np.cumsum(k) - k, k)) * n
-    at = first[:, None] + np.arange(n)
-    inside = at < off[who + 1][:, None]
-    return who, np.where(inside, data[np.minimum(at, max(len(data) - 1, 0))], np.int16(PAD)) if len(who) else np.zeros((0, n), np.int16)
+    if not len(who):
+        return who, np.zeros((0, n), np.int16), np.zeros((0, n), bool)
+    first = (np.arange(len(who)) - np.repeat(np.cumsum(k) - k, k)) * step
+    at = np.maximum(first - overlap, 0)[:, None] + np.arange(n)
+    inside = at < size[who][:, None]
+    own = inside & (at >= first[:, None]) & (at < first[:, None] + step)
+    return who, np.where(inside, data[np.minimum(at + off[who][:, None], max(len(data) - 1, 0))], np.int16(PAD)), own
 
 
 def _predict(model, names: list[str], s: Settings):
@@ -222,12 +230,12 @@ def _predict(model, names: list[str], s: Settings):
             for b in slices(whole, "text", s.slice_bytes):
                 data, off = buffers(b.column("text"))
                 total = np.zeros((b.num_rows, len(names)))
-                who, win = cut(data, off, s.window)
+                who, win, own = cut(data, off, s.window, s.overlap)
                 for i in range(0, len(who) if names else 0, s.lanes):
                     part = who[i : i + s.lanes]
-                    seq = np.full((s.window, s.lanes), PAD, np.intp)
-                    seq[:, : len(part)] = win[i : i + s.lanes].T
-                    np.add.at(total, part, net(seq)[:, : len(part)].T)
+                    seq, mine = np.full((s.window, s.lanes), PAD, np.intp), np.zeros((s.window, s.lanes), bool)
+                    seq[:, : len(part)], mine[:, : len(part)] = win[i : i + s.lanes].T, own[i : i + s.lanes].T
+                    np.add.at(total, part, net(seq, mine)[:, : len(part)].T)
                 mean = total / np.maximum(np.diff(off), 1)[:, None]
                 top = mean.argmax(1) if len(names) else np.zeros(b.num_rows, int)
                 letters = np.asarray(b.column("letters"), dtype=bool)
@@ -238,34 +246,17 @@ def _predict(model, names: list[str], s: Settings):
     return run
 
 
-def _sample(s: Settings):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, langs = [], []
-            for t, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True):
-                x = t.encode()
-                n = max(1, min(s.sample_windows, len(x) // s.window))
-                for i in range(n):
-                    a = (len(x) - s.window) * i // max(n - 1, 1) if len(x) > s.window else 0
-                    texts.append(x[a : a + s.window])
-                    langs.append(lang)
-            yield pa.record_batch([pa.array(texts, pa.binary()), pa.array(langs, pa.string())], names=["x", "lang"])
-
-    return run
-
-
 def fit(docs: DataFrame, s: Settings = Settings()) -> tuple[dict[str, np.ndarray], list[str]]:
-    """(parameters, languages) learned from text and lang of at most s.sample_rows training rows."""
-    order = F.xxhash64("doc_id")
+    """(parameters, languages) learned from the whole texts and lang of at most s.sample_rows training rows: those with the
+    least hash of doc_id, then of text, then the least lang."""
     known = docs.filter((remainder(F.col("doc_id"), s.modulus) != s.held_out) & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
-    edge = known.select(order.alias("h")).orderBy("h").limit(s.sample_rows).agg(F.max("h")).first()[0]
-    if edge is None:
+    got = known.orderBy(F.xxhash64("doc_id"), F.xxhash64("text"), "lang").limit(s.sample_rows).select("text", "lang").toArrow()
+    if not got.num_rows:
         return start(0, s), []
-    got = known.filter(order <= edge).select("text", "lang").mapInArrow(_sample(s), "x binary, lang string").toArrow().sort_by([("lang", "ascending"), ("x", "ascending")])
     names = sorted(set(got["lang"].to_pylist()))
-    data, off = buffers(got["x"])
-    _, win = cut(data, off, s.window)
-    lang = np.array([names.index(x) for x in got["lang"].to_pylist()])
+    data, off = buffers(got["text"])
+    who, win, _ = cut(data, off, s.window)
+    lang = np.array([names.index(x) for x in got["lang"].to_pylist()])[who]
     return train(win, lang, len(names), s), names
 
 

@@ -309,6 +309,18 @@ def query(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("_rid")
 
 
+#: DuckDB: brute force over all pairs that share a shingle, and components by reaching the least id, for the query.
+SQL = r"""
+with recursive d as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as w from documents),
+s as materialized (select distinct doc_id, md5(x) as s from (select doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) when len(w) > 0 then ['<' || array_to_string(w, ' ')] else [] end) as x from d)),
+n as materialized (select doc_id, count(*) as n from s group by 1),
+link as materialized (select a, b from (select x.doc_id as a, y.doc_id as b, count(*) as k from s x join s y using (s) where x.doc_id <> y.doc_id group by 1, 2) p join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * k >= 75 * (na.n + nb.n - k)),
+r(doc_id, c) as (select doc_id, doc_id from d union select link.b, r.c from r join link on link.a = r.doc_id where r.c < link.b),
+g as (select doc_id, min(c) as component_id from r group by 1)
+select doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, component_id, doc_id = component_id as kept from g left join n using (doc_id)
+"""
+
+
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each group of near duplicates stays, the one with the least doc_id, with all its
     columns, of any name. Null and wordless texts are in no group and stay. Repeated or null doc_ids: each row is a

@@ -38,6 +38,7 @@ class Settings:
     modulus: int = 7
     held_out: int = 2  # remainder that is not learned from
     slice_bytes: int = 2 << 20
+    chunk_bytes: int = 16 << 20  # of text in a chunk, on average
     order: int = 2  # bytes of the longest context, 2 to 6
 
 
@@ -343,7 +344,8 @@ def score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """
     spark = docs.sparkSession
     prepare(spark)
-    n = partitions(spark)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    n = max(partitions(spark), int(size // s.chunk_bytes) + 1)
     train = F.coalesce(remainder(F.col("doc_id"), s.modulus) != s.held_out, F.lit(True))
     base = docs.select("doc_id", "text") if "_rid" not in docs.columns else docs.select("doc_id", "text", "_rid")
     d = with_rid(base).select("_rid", F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"), train.alias("train"))

@@ -125,6 +125,22 @@ def query(spark, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_words", "base_failed", "kept")
 
 
+_PHRASES = " or ".join(f"contains(lower(line), '{p}')" for p in BOILERPLATE)
+_ENDS = ", ".join("'" + x.replace("'", "''") + "'" for x in SENTENCE_ENDS)
+
+#: DuckDB: the rules line by line and the windows of three words one by one, for the query.
+SQL = rf"""
+with d as (select doc_id, coalesce(text, '') as t, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') as w from documents),
+l as (select doc_id, line, list_filter(regexp_split_to_array(line, '[ \t\x0B\f\r]+'), lambda x: x <> '') as lw from (select doc_id, unnest(string_split(t, chr(10))) as line from d)),
+dup as (select doc_id, count(*) - count(distinct line) as n from l where len(lw) > 0 group by 1),
+bad as (select doc_id, sum(len(lw)) as n from l where (len(lw) between 1 and 2 and not list_contains([{_ENDS}], right(lw[-1], 1))) or len(regexp_extract_all(line, '[|»›•·]')) >= 3 or (({_PHRASES}) and len(lw) <= 40) group by 1),
+win as (select doc_id, unnest(range(1, len(w) - 1)) as i, w from d where len(w) >= 3), rep as (select doc_id, i, count(*) over (partition by doc_id, w[i], w[i + 1], w[i + 2]) as k from win),
+cov as (select doc_id, count(distinct p) as n from (select doc_id, unnest([i, i + 1, i + 2]) as p from rep where k > 1) group by 1),
+m as (select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars, cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols, cast(coalesce(dup.n, 0) as bigint) as n_dup_lines, cast(coalesce(cov.n, 0) as bigint) as n_repeat_words, cast(coalesce(bad.n, 0) as bigint) as lost_words from d left join dup using (doc_id) left join cov using (doc_id) left join bad using (doc_id))
+select *, (n_words < 50 or 100 * n_repeat_words > 50 * n_words) as base_failed, not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and 100 * lost_words <= 50 * n_words as kept from m
+"""
+
+
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that the rules keep, with their text and all columns, of any name, as they were.
 

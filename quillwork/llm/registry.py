@@ -26,6 +26,9 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_quality_rules": quality.SQL,
     "op4_benchmark_decontamination": decontaminate.SQL,
+    "op6_suffix_array_dedup": repeats.SQL,
     "op7_warc": warc.SQL,
+    "op9_minhash_near_dedup": minhash.SQL,
 }

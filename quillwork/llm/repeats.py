@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, carried, maybe_broadcast, mix, partitions, prepare, slices, stash, with_rid
+from .common import buffers, carried, maybe_broadcast, mix, partitions, prepare, share, slices, spread_join, stash, with_rid
 from .induced import Limits, Store, later_copies
 
 
@@ -371,7 +371,9 @@ def repeated_spans(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     # whole copies of an earlier text go as one span
     whole = docs.select("_rid", F.octet_length("text").cast("long").alias("n"), F.sha2("text", 256).alias("x")).filter(F.col("n") >= s.length)
     first = whole.groupBy("x").agg(F.min("_rid").alias("f"), F.count(F.lit(1)).alias("k")).filter("k > 1")
-    copies = stash(whole.join(first, "x").filter("_rid != f").select(F.col("_rid").alias("r"), F.lit(0).cast("long").alias("a"), F.col("n").alias("b")), "copies")
+    first = stash(first, "originals")
+    same = spread_join(whole, first.select("x", "f"), ["x"], first.select("x", F.col("k").alias("_n")), share(docs.count(), spark))
+    copies = stash(same.filter("_rid != f").select(F.col("_rid").alias("r"), F.lit(0).cast("long").alias("a"), F.col("n").alias("b")), "copies")
     ids = copies.select(F.col("r").alias("_rid"))
     if copies.count() <= s.broadcast_rows:
         ids = F.broadcast(ids)
@@ -426,6 +428,18 @@ def query(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("_rid")
 
 
+#: DuckDB: every string of 100 bytes of every text by its digest, for the query.
+SQL = r"""
+with d as (select doc_id, encode(coalesce(text, '')) as b, hex(encode(coalesce(text, ''))) as x from documents), n as (select doc_id, x, cast(octet_length(b) as bigint) as n from d),
+g as materialized (select doc_id, i, md5(substr(x, 2 * i + 1, 200)) as h from (select doc_id, x, unnest(range(0, n - 99)) as i from n where n >= 100)),
+f as (select doc_id, i, row_number() over (partition by h order by doc_id, i) as k from g), e as (select doc_id, i, lag(i) over (partition by doc_id order by i) as p from f where k > 1),
+o as (select doc_id, i, sum(case when p is null or i > p + 100 then 1 else 0 end) over (partition by doc_id order by i) as run from e), r as (select doc_id, run, min(i) as a, max(i) + 100 as z from o group by 1, 2),
+c as (select doc_id, sum(z - a) as gone, count(*) as spans, list(a order by a) as a, list(z order by a) as z from r group by 1),
+k as (select n.doc_id, n, coalesce(gone, 0) as gone, coalesce(spans, 0) as spans, case when gone is null then x else array_to_string(list_transform(range(0, len(a) + 1), lambda j: substr(x, 2 * (case when j = 0 then 0 else z[j] end) + 1, 2 * ((case when j = len(a) then n else a[j + 1] end) - (case when j = 0 then 0 else z[j] end)))), '') end as x from n left join c using (doc_id))
+select doc_id, n as n_bytes, cast(gone as bigint) as n_removed, cast(spans as bigint) as n_spans, sha256(unhex(x)) as kept_sha256 from k
+"""
+
+
 def _rewrite(names: list[str]):
     """Rows (_row, spans) to the rows themselves, with the spans' bytes taken out of text."""
 
