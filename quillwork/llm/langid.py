@@ -250,9 +250,13 @@ def fit(docs: DataFrame, s: Settings = Settings()) -> tuple[dict[str, np.ndarray
     """(parameters, languages) learned from the whole texts and lang of at most s.sample_rows training rows: those with the
     least hash of doc_id, then of text, then the least lang."""
     known = docs.filter((remainder(F.col("doc_id"), s.modulus) != s.held_out) & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
-    got = known.orderBy(F.xxhash64("doc_id"), F.xxhash64("text"), "lang").limit(s.sample_rows).select("text", "lang").toArrow()
-    if not got.num_rows:
+    order = F.xxhash64("doc_id")
+    # first the hash up to which rows are taken, of hashes alone; texts are sent only of those rows
+    edge = known.select(order.alias("h")).orderBy("h").limit(s.sample_rows).agg(F.max("h")).first()[0]
+    if edge is None:
         return start(0, s), []
+    some = known.filter(order <= edge)
+    got = some.orderBy(order, F.xxhash64("text"), "lang").limit(s.sample_rows).select("text", "lang").toArrow()
     names = sorted(set(got["lang"].to_pylist()))
     data, off = buffers(got["text"])
     who, win, _ = cut(data, off, s.window)
