@@ -9,7 +9,9 @@ The trie of contexts is sharded over executors by the last three bytes of the co
 order 3 and more on the way down to its grams (a gram is a context and the byte after it); the nodes of orders 0 to 2,
 at most 2^24 grams, go to all. Texts are dealt into chunks. Each chunk sends its distinct grams with their training
 counts to their shards, packed; a shard sums them, builds its part of the trie, and sends each chunk the
-log-probabilities of that chunk's grams and no others. As a longer context sees a subset of what its suffix sees, what
+log-probabilities of that chunk's grams and no others. Every chunk asks about a frequent context, so the rows of such a
+shard grow with the data: they are dealt over parts by chunk, the parts' counts are summed first, and each part gets the
+sums, of which a context of three bytes has 2^24 at most at order 5. As a longer context sees a subset of what its suffix sees, what
 is excluded after a context depends on the context alone, and each node has its sums ready.
 
 Word scores need a count for each token of each text. Each chunk sends its distinct words once, the words' totals come
@@ -28,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, mix, partitions, prepare, remainder, slices, stash, with_rid
+from .common import buffers, maybe_broadcast, mix, partitions, prepare, remainder, slices, stash, with_rid
 
 MARK = 255
 
@@ -39,6 +41,7 @@ class Settings:
     held_out: int = 2  # remainder that is not learned from
     slice_bytes: int = 2 << 20
     chunk_bytes: int = 16 << 20  # of text in a chunk, on average
+    shard_bytes: int = 16 << 20  # packed grams of a shard; more are dealt over parts
     order: int = 2  # bytes of the longest context, 2 to 6
 
 
@@ -181,7 +184,7 @@ def unpack(x: bytes) -> np.ndarray:
 
 
 def _count_chunks(s: Settings, shards: int):
-    """Rows of a chunk: its distinct words (w, n) and grams (shard, grams, counts) with training counts; and training trigrams (gram, n) of the task."""
+    """Rows of a chunk: its distinct words (w, n) and grams (shard, grams, counts, their bytes n) with training counts; and training trigrams (gram, n) of the task."""
 
     def row(size: int, **cols) -> pa.RecordBatch:
         return pa.record_batch([cols[f.name] if f.name in cols else pa.nulls(size, f.type) for f in _COUNTED], schema=_COUNTED)
@@ -207,7 +210,9 @@ def _count_chunks(s: Settings, shards: int):
             ends = np.append(np.flatnonzero(np.diff(shard[at], prepend=-1)), len(at))
             mine = [at[i:j] for i, j in zip(ends[:-1], ends[1:], strict=True)]
             m = len(mine)
-            yield row(m, chunk=pa.array(np.full(m, chunk, np.int64)), shard=pa.array([int(shard[x[0]]) for x in mine], pa.int32()), grams=pa.array([pack(g[x]) for x in mine], pa.binary()), counts=pa.array([pack(c[x]) for x in mine], pa.binary()))
+            gs, cs = [pack(g[x]) for x in mine], [pack(c[x]) for x in mine]
+            size = pa.array([len(x) + len(y) for x, y in zip(gs, cs, strict=True)], pa.int64())
+            yield row(m, chunk=pa.array(np.full(m, chunk, np.int64)), n=size, shard=pa.array([int(shard[x[0]]) for x in mine], pa.int32()), grams=pa.array(gs, pa.binary()), counts=pa.array(cs, pa.binary()))
 
         for whole in batches:
             for b in slices(whole, "text", s.slice_bytes):
@@ -249,24 +254,78 @@ _COUNTED = pa.schema([("chunk", pa.int64()), ("w", pa.string()), ("n", pa.int64(
 _near: dict[str, list[Level]] = {}
 
 
+class Sums:
+    """Counts of grams, added up from packed rows."""
+
+    def __init__(self):
+        self.parts, self.size = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
+
+    def add(self, grams: bytes, counts: bytes) -> None:
+        g, c = unpack(grams), unpack(counts)
+        self.parts.append((g[c > 0], c[c > 0]))
+        self.size += len(g)
+        if self.size > 4_000_000:
+            self.parts, self.size = [self.all()], 0
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        return summed(*map(np.concatenate, zip(*self.parts, strict=True)))
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by (shard, part), a row for each of them with the sums of its counts."""
+
+    def out(key: tuple[int, int], sums: Sums) -> pa.RecordBatch:
+        g, c = sums.all()
+        return pa.record_batch([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([pack(g)], pa.binary()), pa.array([pack(c)], pa.binary())], names=["shard", "part", "grams", "counts"])
+
+    last, sums = None, Sums()
+    for b in batches:
+        for shard, part, g, c in zip(*(b.column(x).to_pylist() for x in ("shard", "part", "grams", "counts")), strict=True):
+            if (shard, part) != last:
+                if last is not None:
+                    yield out(last, sums)
+                last, sums = (shard, part), Sums()
+            sums.add(g, c)
+    if last is not None:
+        yield out(last, sums)
+
+
+def _parted(tree: DataFrame, s: Settings) -> DataFrame:
+    """(shard, part, chunk, grams, counts): the rows of a large shard dealt over parts, each with the shard's sums."""
+    size = tree.groupBy("shard").agg(F.sum("n").alias("n")).filter(F.col("n") > s.shard_bytes)
+    hot = stash(size.select("shard", F.ceil(F.col("n") / s.shard_bytes).cast("int").alias("parts")), "hot")
+    if hot.limit(1).count() == 0:
+        return tree.select("shard", F.lit(0).alias("part"), "chunk", "grams", "counts")
+    n = partitions(tree.sparkSession)
+    few = maybe_broadcast(hot, 200_000)
+    part = F.coalesce(F.pmod(F.xxhash64("chunk"), F.col("parts")).cast("int"), F.lit(0))
+    dealt = tree.join(few, "shard", "left").withColumn("part", part)
+    schema = "shard int, part int, grams binary, counts binary"
+    sums = dealt.filter("parts is not null").select("shard", "part", "grams", "counts").repartition(n, "shard", "part").sortWithinPartitions("shard", "part").mapInArrow(_merge, schema)
+    sums = stash(sums.withColumn("part", F.lit(0)).repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(_merge, schema), "sums")
+    each = sums.drop("part").join(few, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    teach = each.select("shard", "part", F.lit(None).cast("long").alias("chunk"), "grams", "counts")
+    return dealt.select("shard", "part", "chunk", "grams", F.when(F.col("parts").isNull(), F.col("counts")).alias("counts")).union(teach)
+
+
 def _shard(s: Settings, model, key: str):
-    """The part of the trie below some contexts of three bytes: (chunk, grams, logs) for each row of grams of a chunk."""
+    """The part of the trie below some contexts of three bytes: (chunk, grams, logs) for each row of grams of a chunk.
+
+    Rows without a chunk only teach, rows without counts only ask.
+    """
 
     def run(t: pa.Table) -> pa.Table:
         if key not in _near:
             _near.clear()
             _near[key] = levels(*model.value, 2, [])
-        gram, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        parts, size = [(gram, count)], 0
         rows = list(zip(t["chunk"].to_pylist(), t["grams"].to_pylist(), t["counts"].to_pylist(), strict=True))
+        learned = Sums()
         for _, g, c in rows:
-            g, c = unpack(g), unpack(c)
-            parts.append((g[c > 0], c[c > 0]))
-            size += len(g)
-            if size > 4_000_000:
-                parts, size = [summed(*map(np.concatenate, zip(*parts, strict=True)))], 0
-        gram, count = summed(*map(np.concatenate, zip(*parts, strict=True)))
+            if c is not None:
+                learned.add(g, c)
+        gram, count = learned.all()
         trie = levels(gram, count, s.order, _near[key]) if s.order > 2 else _near[key]
+        rows = [x for x in rows if x[0] is not None]
         logs = [chances(unpack(g), trie).astype(np.float32).tobytes() for _, g, _ in rows]
         return pa.table({"chunk": pa.array([c for c, _, _ in rows], pa.int64()), "grams": pa.array([g for _, g, _ in rows], pa.binary()), "logs": pa.array(logs, pa.binary())})
 
@@ -359,7 +418,7 @@ def score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     sums = (known["n"] + ends, ends, known["v"] + (ends > 0))
     low = counted.filter("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")).orderBy("gram").toArrow()  # 2^24 rows at most
     model = spark.sparkContext.broadcast((np.asarray(low["gram"], dtype=np.int64), np.asarray(low["n"], dtype=np.int64)))
-    tree = counted.filter("shard is not null").select("shard", "chunk", "grams", "counts").groupBy("shard").applyInArrow(_shard(s, model, uuid.uuid4().hex), "chunk long, grams binary, logs binary")
+    tree = _parted(counted.filter("shard is not null").select("shard", "chunk", "n", "grams", "counts"), s).groupBy("shard", "part").applyInArrow(_shard(s, model, uuid.uuid4().hex), "chunk long, grams binary, logs binary")
     back = word.select("chunk", "w").join(totals.filter("c > 0"), "w").select("chunk", "w", "c").unionByName(tree, allowMissingColumns=True)
     schema = "_rid long, doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return dealt.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(_score(s, sums), schema).drop("_rid")

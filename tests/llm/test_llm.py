@@ -183,7 +183,7 @@ def test_language(spark, none):
     assert langid.identify(none).count() == 0
 
 
-def test_scores_by_long_contexts(spark, tmp_path):
+def test_scores_by_long_contexts(spark, tmp_path, monkeypatch):
     """The query's model uses contexts of five bytes: against a brute-force descent through all contexts."""
     rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(TEXTS)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
@@ -208,7 +208,15 @@ def test_scores_by_long_contexts(spark, tmp_path):
                 gone |= set(seen)
         return out / (256 - len(gone))
 
-    got = {r.doc_id: r.score for r in ppm.query(spark, str(tmp_path)).collect()}
-    for i, t in enumerate(TEXTS):
-        b = marked(t)
-        assert got[i] == pytest.approx(sum(np.log10(chance(b, k)) for k in range(5, len(b))), rel=1e-5), i
+    # also with shards so large, for their bound, that they are dealt over parts
+    parted = ppm.Settings(order=5, chunk_bytes=1000, shard_bytes=400)
+    table = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    written, stash = [], ppm.stash
+    monkeypatch.setattr(ppm, "stash", lambda df, name="t": written.append(name) or stash(df, name))
+    for out in (ppm.query(spark, str(tmp_path)), ppm.score(table, parted)):
+        got = {r.doc_id: r.score for r in out.collect()}
+        assert len(got) == len(TEXTS)
+        for i, t in enumerate(TEXTS):
+            b = marked(t)
+            assert got[i] == pytest.approx(sum(np.log10(chance(b, k)) for k in range(5, len(b))), rel=1e-5), i
+    assert written.count("sums") == 1
