@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, carried, let, maybe_broadcast, stash, with_rid, words
+from .common import ascii_lower, carried, gathered, let, maybe_broadcast, stash, with_rid, words
 
 
 @dataclass(frozen=True)
@@ -107,4 +107,4 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     named = with_rid(carried(docs, "doc_id", "text"))
     found = leaks(named, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), numbered=True).select("_rid").distinct()
-    return named.join(found, "_rid", "left_anti").select("_row.*")
+    return gathered(named.join(found, "_rid", "left_anti").select("_row.*"))

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import carried, mix, prepare, share, slices, spread_join, stash, string_hashes, with_rid
+from .common import carried, gathered, mix, prepare, share, slices, spread_join, stash, string_hashes, with_rid
 
 
 @dataclass(frozen=True)
@@ -329,4 +329,4 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     named = with_rid(carried(docs, "doc_id", "text"))
     gone = near_duplicates(named, numbered=True).filter("not kept").select("_rid")
-    return named.join(gone, "_rid", "left_anti").select("_row.*")
+    return gathered(named.join(gone, "_rid", "left_anti").select("_row.*"))

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Known, buffers, prepare, slices
+from .common import Known, buffers, gathered, prepare, slices
 
 MARK = "▁"
 
@@ -319,4 +319,4 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Last pipeline stage: ids and digests of the remaining documents."""
-    return encode_decode(docs).drop("decoded")
+    return gathered(encode_decode(docs).drop("decoded"))

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, carried, maybe_broadcast, mix, partitions, prepare, share, slices, spread_join, stash, with_rid
+from .common import buffers, carried, gathered, maybe_broadcast, mix, partitions, prepare, share, slices, spread_join, stash, with_rid
 from .induced import Limits, Store, later_copies
 
 
@@ -475,4 +475,4 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     named = with_rid(carried(docs, "doc_id", "text"))
     spans = repeated_spans(named, Settings()).groupBy(F.col("r").alias("_rid")).agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     both = named.select("_rid", "_row").join(spans, "_rid", "left").select("_row", "spans")
-    return both.mapInArrow(_rewrite(docs.columns), docs.schema)
+    return gathered(both.mapInArrow(_rewrite(docs.columns), docs.schema))

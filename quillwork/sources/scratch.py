@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+FILE_BYTES = 4 << 20  # that a task reads at least, before tables are written
 _own: dict[str, str] = {}
 _made: dict[str, list[str]] = {}
 
@@ -36,10 +37,21 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def gathered(df: DataFrame) -> DataFrame:
+    """df in fewer partitions where they are many for its bytes: one for each FILE_BYTES of the tables that it reads, two
+    for each core and a sixteenth of the shuffle partitions are left at least. No row moves, a task only takes several
+    partitions in turn. Hadoop starts three processes for each file that an executor writes to a local folder.
+    """
+    spark = df.sparkSession
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return df.coalesce(max(size // FILE_BYTES + 1, 2 * spark.sparkContext.defaultParallelism, partitions(spark) // 16)) if size < FILE_BYTES << 20 else df
+
+
 def stash(df: DataFrame, name: str = "t") -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = f"{scratch(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    gathered(df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -2,6 +2,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillwork.operators import chunking, funnel, graph, passages, retrieval, similarity
+from quillwork.sources import scratch
+
+
+def test_few_files(spark, tmp_path):
+    spark.range(500).write.parquet(f"{tmp_path}/in")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(kept, ("64", "false"), strict=True):
+            spark.conf.set(k, v)
+        out = scratch.stash(spark.read.parquet(f"{tmp_path}/in").groupBy("id").agg(F.count(F.lit(1)).alias("n")))
+        assert len(out.inputFiles()) <= 8  # two for each core, not one for each of the 64 partitions
+        assert sorted(map(tuple, out.collect())) == [(i, 1) for i in range(500)]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
 
 
 def test_ranges():
