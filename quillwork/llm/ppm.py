@@ -20,6 +20,8 @@ back to the chunk, and the chunk's texts are scored there.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -86,35 +88,44 @@ def place(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return i, keys[i] == x
 
 
+def lean() -> None:
+    """Give back to the system what this worker has freed, and large arrays from now on as they go: else it keeps what a task once took."""
+    with contextlib.suppress(OSError, AttributeError):  # of the GNU library only
+        own = ctypes.CDLL(None)
+        own.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD
+        own.malloc_trim(0)
+
+
 def slot(x: np.ndarray, bits: int) -> np.ndarray:
     return ((x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 class Lookup:
-    """Values by distinct grams: open addressing, probed for whole arrays at a time."""
+    """Values by distinct grams: open addressing, probed for whole arrays at a time; the slots hold places of grams."""
 
     def __init__(self, gram: np.ndarray, value: np.ndarray):
-        self.bits = max(4, int(4 * len(gram)).bit_length())
-        self.gram, self.value = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, value.dtype)
-        at, todo = slot(gram, self.bits), np.arange(len(gram))
+        self.bits = max(4, int(2 * len(gram)).bit_length())
+        self.gram, self.value, self.at = gram, value, np.full(1 << self.bits, -1, np.int32)
+        at, todo = slot(gram, self.bits), np.arange(len(gram), dtype=np.int32)
         while len(todo):
-            i = at[todo]
-            free = self.gram[i] == -1
-            self.gram[i[free]] = gram[todo[free]]  # of several for one slot the last stays
-            mine = self.gram[i] == gram[todo]
-            self.value[i[mine]] = value[todo[mine]]
-            todo = todo[~mine]
-            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
+            free = self.at[at] == -1
+            self.at[at[free]] = todo[free]  # of several for one slot the last stays
+            left = self.at[at] != todo
+            at, todo = (at[left] + 1) & ((1 << self.bits) - 1), todo[left]
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
         """The values of grams, all of which must be there."""
-        i = slot(x, self.bits)
-        out = self.value[i]
-        todo = np.flatnonzero(self.gram[i] != x)
-        while len(todo):
-            i[todo] = (i[todo] + 1) & ((1 << self.bits) - 1)
-            out[todo] = self.value[i[todo]]
-            todo = todo[self.gram[i[todo]] != x[todo]]
+        out = np.zeros(len(x), self.value.dtype)
+        for k in range(0, len(x), 1 << 18):
+            y = x[k : k + (1 << 18)]
+            i = slot(y, self.bits)
+            at = self.at[i]
+            todo = np.flatnonzero(self.gram[at] != y)
+            while len(todo):
+                i[todo] = (i[todo] + 1) & ((1 << self.bits) - 1)
+                at[todo] = self.at[i[todo]]
+                todo = todo[self.gram[at[todo]] != y[todo]]
+            out[k : k + (1 << 18)] = self.value[at]
         return out
 
 
@@ -190,9 +201,10 @@ def _count_chunks(s: Settings, shards: int):
         return pa.record_batch([cols[f.name] if f.name in cols else pa.nulls(size, f.type) for f in _COUNTED], schema=_COUNTED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         words: dict[int, list[tuple[pa.Array, np.ndarray]]] = {}
         trees: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        tri = np.zeros(1 << 24, np.int32)
+        tri = np.zeros(0, np.int64), np.zeros(0, np.int64)
         held: dict[int, int] = {}
 
         def out(chunk: int) -> Iterator[pa.RecordBatch]:
@@ -226,8 +238,8 @@ def _count_chunks(s: Settings, shards: int):
                         g, _ = grams(b.column("text").filter(pa.array((chunks == c) & (train == learned))), s.order)
                         u, n = np.unique(g, return_counts=True)
                         if learned:
-                            u3, at3 = np.unique(u & 0xFFFFFF, return_inverse=True)
-                            tri[u3] += np.bincount(at3, weights=n, minlength=len(u3)).astype(np.int32)
+                            low = summed(u & 0xFFFFFF, n)
+                            tri = summed(np.concatenate([tri[0], low[0]]), np.concatenate([tri[1], low[1]]))
                         old = trees.get(int(c), (u[:0], n[:0]))
                         trees[int(c)] = summed(np.concatenate([old[0], u]), np.concatenate([old[1], n * learned]))
                     mine = chunks[doc] == c
@@ -243,9 +255,9 @@ def _count_chunks(s: Settings, shards: int):
             yield from out(c)
         for c in list(trees):
             yield from tree(c)
-        u = np.flatnonzero(tri)
-        if len(u):
-            yield row(len(u), n=pa.array(tri[u].astype(np.int64)), gram=pa.array(u.astype(np.int32)))
+        if len(tri[0]):
+            yield row(len(tri[0]), n=pa.array(tri[1]), gram=pa.array(tri[0].astype(np.int32)))
+        lean()
 
     return run
 
@@ -315,6 +327,7 @@ def _shard(s: Settings, model, key: str):
     """
 
     def run(t: pa.Table) -> pa.Table:
+        lean()
         if key not in _near:
             _near.clear()
             _near[key] = levels(*model.value, 2, [])
@@ -349,6 +362,7 @@ def _score(s: Settings, sums):
     """Score the texts of a chunk, given the chunk's words with their totals and its grams with their log-probabilities."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        lean()
         tree = right.filter(pc.is_valid(right["grams"]))
         gram = np.concatenate([np.zeros(0, np.int64), *map(unpack, tree["grams"].to_pylist())])
         logs = np.concatenate([np.zeros(0, np.float32), *[np.frombuffer(x, np.float32) for x in tree["logs"].to_pylist()]])
@@ -361,7 +375,7 @@ def _score(s: Settings, sums):
         counts = np.asarray(known["c"], dtype=np.float64)
         out = []
         base = np.log10(total + distinct + 1.0)
-        for whole in left.combine_chunks().to_batches():
+        for whole in left.to_batches():
             for b in slices(whole, "text", s.slice_bytes):
                 enc, off, _ = tokens(b.column("text"))
                 at = pc.index_in(enc.dictionary, vocabulary)

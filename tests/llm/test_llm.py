@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -129,6 +130,19 @@ def test_leaks(spark, docs, none):
     assert decontaminate.leaks(none, items).count() == 0 and decontaminate.leaks(docs, items.limit(0)).count() == 0
 
 
+def test_lookup_memory():
+    gram = np.unique(np.random.default_rng(3).integers(0, 1 << 48, 1 << 18))
+    value, x = np.arange(len(gram), dtype=np.float32), np.tile(gram, 4)
+    tracemalloc.start()
+    try:
+        got = ppm.Lookup(gram, value)(x)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.array_equal(got, np.tile(value, 4))
+    assert peak < 100 * len(gram)  # the chunk's own grams and values have 12 bytes each
+
+
 def test_scores(docs, none):
     rows = {r.doc_id: r for r in ppm.score(docs).collect()}
     held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
