@@ -11,9 +11,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.scratch import gathered, maybe_broadcast, partitions, release, scratch, small_enough, stash
+from ..sources.scratch import gathered, listed, maybe_broadcast, partitions, release, scratch, small_enough, stash
 
-__all__ = ["gathered", "maybe_broadcast", "partitions", "release", "scratch", "small_enough", "stash"]
+__all__ = ["gathered", "listed", "maybe_broadcast", "partitions", "release", "scratch", "small_enough", "stash"]
 
 ROOT = str(Path(__file__).resolve().parents[2])
 #: ASCII white space of the word pattern [^\x20\x09-\x0D]+.

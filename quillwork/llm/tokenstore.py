@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Known, buffers, partitions, prepare, scratch, slices, stash, with_rid
+from .common import Known, buffers, gathered, listed, partitions, prepare, scratch, slices, stash, with_rid
 from .store import published, random_access
 
 SEEK_MAGIC, DOCS_MAGIC, END_MAGIC = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
@@ -308,7 +308,7 @@ def write(docs: DataFrame, base: str, s: Settings = Settings()) -> DataFrame:
     prepare(spark)
     d = with_rid(docs.select("doc_id", "text")).select("_rid", F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     dealt = d.repartitionByRange(partitions(spark), "_rid").sortWithinPartitions("_rid")
-    return stash(dealt.mapInArrow(_write(s, base), "part long, uri string, docs long, ids long"), "files")
+    return listed(dealt.mapInArrow(_write(s, base), "part long, uri string, docs long, ids long"))
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,10 +335,12 @@ def read(files: DataFrame) -> DataFrame:
     """One row per document of the files: doc_id, start, n_tokens, ids_crc32; frames are checked as they are read."""
     from pyspark.sql import Window
 
-    prepare(files.sparkSession)
+    spark = files.sparkSession
+    prepare(spark)
     # one row for each file
     placed = files.withColumn("before", F.coalesce(F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return stash(placed.select("uri", "before"), "placed").repartition(partitions(files.sparkSession), "uri").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    dealt = stash(placed.select("uri", "before"), "placed").repartition(partitions(spark))
+    return gathered(dealt.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -55,6 +55,13 @@ def stash(df: DataFrame, name: str = "t") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def listed(df: DataFrame, name: str = "files") -> DataFrame:
+    """stash for what tasks tell of files that they have written themselves, a row or so each: all rows go to one file.
+    The tasks themselves are not gathered, so that each partition is a task and its id can name a file.
+    """
+    return stash(df.repartition(1), name)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

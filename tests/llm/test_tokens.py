@@ -70,6 +70,29 @@ def test_token_files_of_repeated_rows(spark):
         at += r.n_tokens
 
 
+def test_token_files_of_many_partitions(spark, docs, tmp_path):
+    """Small tables in many partitions: each partition keeps a file of its own; the list and the rows go to few."""
+    t = library()
+    docs.write.parquet(f"{tmp_path}/in")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(kept, ("64", "false"), strict=True):
+            spark.conf.set(k, v)
+        files = tokenstore.write(spark.read.parquet(f"{tmp_path}/in"), scratch(spark))
+        assert len({r.uri for r in files.collect()}) == files.count() == 64 and len(files.inputFiles()) == 1
+        out = tokenstore.read(files)
+        assert out.rdd.getNumPartitions() <= 8  # two for each core
+        got = {r.doc_id: r for r in out.collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    start = 0
+    for i, x in enumerate(TEXTS):
+        ids = [*t.encode(x or "", add_special_tokens=False).ids, 0]
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
 def test_token_frames():
     f = io.BytesIO()
     w = tokenstore.Writer(f, tokenstore.Settings(frame_ids=10))
