@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, prepare, scratch, stash, with_rid
+from .common import listed, partitions, prepare, scratch, with_rid
 from .store import published, random_access
 
 
@@ -214,7 +214,7 @@ def write(pages: DataFrame, base: str, s: Settings = Settings()) -> DataFrame:
     spark = pages.sparkSession
     prepare(spark)
     d = revisits(pages, s).repartition(partitions(spark), "_rid").select("page_id", "url", "html", "sha1", "refers_to")
-    return stash(d.mapInArrow(_write(s, base), "uri string, records long"), "archives")
+    return listed(d.mapInArrow(_write(s, base), "uri string, records long"), "archives")
 
 
 def read(files: DataFrame) -> DataFrame:

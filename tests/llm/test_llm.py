@@ -187,6 +187,24 @@ def test_warc(spark):
     assert warc.read(warc.write(pages.limit(0), scratch(spark))).count() == 0
 
 
+def test_warc_of_many_partitions(spark, tmp_path):
+    """A small table in many partitions: no archive is written over."""
+    html = lambda i: f"{i % 400} " * 300
+    spark.createDataFrame([(i, "u", html(i)) for i in range(500)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/in")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(kept, ("64", "false"), strict=True):
+            spark.conf.set(k, v)
+        files = warc.write(spark.read.parquet(f"{tmp_path}/in"), scratch(spark))
+        assert len({r.uri for r in files.collect()}) == files.count() == 64 and len(files.inputFiles()) == 1
+        got = warc.read(files).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    want = [(i, len(html(i)), hashlib.sha1(html(i).encode()).hexdigest(), *(("revisit", i + 400) if len(html(i)) >= 1000 and i < 100 else ("response", None))) for i in range(500)]
+    assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == want
+
+
 def test_language(spark, none):
     g = random.Random(1)
     make = lambda letters: " ".join("".join(g.choice(letters) for _ in range(5)) for _ in range(30))
