@@ -362,7 +362,7 @@ def jaccard_greedy_keep(spark, d):
 def cosine_cluster_keep(spark, d):
     """Vectors that remain of clusters at .4, scored by a number of their label; held against a scan in the tests."""
     v = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), (F.col("label") % 3).cast("double").alias("score"))
-    return similarity.cluster_keep(v.select("id", "score"), similarity.cosine_pairs(v.select("id", "vec"), 0.4).select("a", "b")).select(F.col("id").alias("vec_id"))
+    return similarity.vector_cluster_keep(v, 0.4).select(F.col("id").alias("vec_id"))
 
 
 @query("token_bag_regex_features", rf"select doc_id, cast(len({TOK.format('text')}) as bigint) as n_tokens, cast(len(list_distinct({TOK.format('text')})) as bigint) as n_distinct, cast(len(list_distinct(regexp_extract_all(substr(text, 1, 2000), '\b(1[0-9]{{3}}|20[0-9]{{2}})\b', 1))) as bigint) as n_years from documents")

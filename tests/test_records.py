@@ -298,3 +298,26 @@ def test_streams(spark, tmp_path):
     for k in (1, 2):  # the second run finds nothing new, not even with a new checkpoint
         append_new(lines(spark, f"{tmp_path}/in", RESULT), f"{tmp_path}/table", ["path", "doc"], f"{tmp_path}/append{k}").awaitTermination()
         assert spark.read.parquet(f"{tmp_path}/table").count() == 4
+
+
+@pytest.mark.parametrize(("block", "most"), [(4096, 1_000_000), (7, 5)])
+def test_cluster_removal_without_all_pairs(spark, tmp_path, monkeypatch, block, most):
+    import numpy as np
+
+    from quillwork.plans import catalogue
+
+    g = np.random.default_rng(5)
+    v = g.standard_normal((160, 6))
+    v[100:130] = v[3]  # one large group of equal vectors
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    scores = [None if i % 7 == 0 else float(i % 3) for i in range(160)]
+    df = spark.createDataFrame([(i, [float(x) for x in r], s) for i, (r, s) in enumerate(zip(v, scores, strict=True))] + [(999, None, 1.0)], "id long, vec array<double>, score double")
+    pairs = {(i, j) for i in range(160) for j in range(i + 1, 160) if round(v[i] @ v[j], 6) >= 0.6}
+    want = [*scan_clusters(range(160), scores, pairs), 999]
+    assert sorted(r.id for r in similarity.vector_cluster_keep(df, 0.6, block, most).collect()) == want
+    assert similarity.vector_cluster_keep(df.limit(0), 0.6).count() == 0
+    monkeypatch.setattr(similarity, "cosine_pairs", None)  # the query needs no list of all pairs
+    df.filter("vec is not null").select(F.col("id").alias("vec_id"), F.col("vec").alias("embedding"), (F.col("id") % 10).cast("int").alias("label")).write.parquet(f"{tmp_path}/embeddings.parquet")
+    labels = [float(i % 10 % 3) for i in range(160)]
+    near = {(i, j) for i in range(160) for j in range(i + 1, 160) if round(v[i] @ v[j], 6) >= 0.4}
+    assert sorted(r.vec_id for r in catalogue.cosine_cluster_keep(spark, str(tmp_path)).collect()) == scan_clusters(range(160), labels, near)
