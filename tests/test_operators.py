@@ -147,3 +147,20 @@ def test_jaccard_pairs_in_small_blocks_with_few_known_tokens(spark, monkeypatch)
     reps = sorted({r.rep for r in classes.collect()})
     want = {(a, b) for a, b in itertools.combinations(reps, 2) if len(sets[a] & sets[b]) >= 0.6 * len(sets[a] | sets[b]) - 1e-9}
     assert sorted((r.a, r.b) for r in pairs.collect()) == sorted(want)
+
+
+def test_jaccard_greedy_keep_of_a_family(spark, tmp_path, monkeypatch):
+    import random
+
+    from quillwork.plans import catalogue
+
+    monkeypatch.setattr(similarity, "CELL", 500)
+    g = random.Random(4)
+    words = [f"w{i}" for i in range(64)]
+    sets = [set(g.sample(words[:60], 56)) | set(g.sample(words[60:], 1)) for _ in range(80)] + [set()]
+    spark.createDataFrame([(i, " ".join(s)) for i, s in enumerate(sets)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    kept = []
+    for i, s in enumerate(sets):
+        if not any(s and len(s & sets[k]) / len(s | sets[k]) >= 0.85 for k in kept):
+            kept.append(i)
+    assert sorted(r.doc_id for r in catalogue.jaccard_greedy_keep(spark, str(tmp_path)).collect()) == kept
